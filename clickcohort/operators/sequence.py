@@ -29,6 +29,7 @@ from clickcohort.session import ensure_checkpoint_dir
 SECOND = 1_000_000
 FRAME = 10          # gaps per sliding frame
 COPY_CAP = FRAME + 1  # more copies than this cannot change a sliding frame
+MAX_PIECES = 20_000   # tasks of the range partitioning; pieces grow beyond it
 
 
 def is_error(code: Column) -> Column:
@@ -62,7 +63,7 @@ def sequence_features(events: DataFrame, params: Params = Params(), key: str = K
     else:
         # At most rows / hot_cohort_rows keys.
         hot_keys = F.broadcast(sizes.select(key))
-        pieces = 2 * math.ceil(hot_rows / params.hot_cohort_rows)
+        pieces = min(MAX_PIECES, 2 * math.ceil(hot_rows / params.hot_cohort_rows))
         measured = _by_window(rows.join(hot_keys, key, "left_anti"), params, key).unionByName(
             _by_pieces(rows.join(hot_keys, key, "left_semi"), pieces, params, key))
     return _finish(measured, params, key)

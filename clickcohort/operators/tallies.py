@@ -39,10 +39,14 @@ STATUS_RANGES = {
 
 
 class Block(NamedTuple):
-    """Aggregates to compute per group, and the columns made from them."""
+    """Aggregates to compute per group, and the columns made from them.
+
+    ``steps`` are columns that several outputs share.
+    """
 
     aggregates: list[Column]
     outputs: list[Column]
+    steps: dict[str, Column] = {}
 
 
 def rate(part: Column, whole: Column, min_whole: int = 1) -> Column:
@@ -63,7 +67,7 @@ def time_block(columns: Sequence[str], params: Params) -> Block:
                      + [F.lit(False).alias("schedule_regular_times")])
     ts = F.col("timestamp")
     hour = F.hour(ts)
-    aggregates = [F.count_if(hour == h).alias(f"_hour_{h:02d}") for h in HOURS]
+    aggregates = [F.expr(f"count_if(hour(timestamp) = {h}) AS _hour_{h:02d}") for h in HOURS]
     aggregates += [
         F.count(ts).alias("_timed"),
         F.count_if(hour.isin(*params.night_hours)).alias("_night"),
@@ -71,22 +75,25 @@ def time_block(columns: Sequence[str], params: Params) -> Block:
         F.min(ts).alias("first_timestamp"),
         F.max(ts).alias("last_timestamp"),
     ]
-    shares = [F.try_divide(F.col(f"_hour_{h:02d}"), F.col("_timed")) for h in HOURS]
-    hist = F.array(*shares)
-    strength = rate(F.col("_regular"), _n(), REGULAR_MIN_EVENTS)
-    outputs = [share.alias(name) for share, name in zip(shares, HOUR_COLUMNS)]
+    hours = ", ".join(f"_hour_{h:02d}" for h in HOURS)
+    steps = {
+        "_hist": F.expr(f"transform(array({hours}), c -> try_divide(c, _timed))"),
+        "_strength": rate(F.col("_regular"), _n(), REGULAR_MIN_EVENTS),
+    }
+    hist = F.col("_hist")
+    outputs = [F.expr(f"_hist[{h}] AS {name}") for h, name in zip(HOURS, HOUR_COLUMNS)]
     outputs += [
         entropy_bits(hist).alias("hourly_entropy"),
         gini(hist).alias("hourly_gini"),
         (F.col("_night") / _n()).alias("night_share"),
-        strength.alias("schedule_regularity_strength"),
-        (strength > 0.5).alias("schedule_regular_times"),
+        F.col("_strength").alias("schedule_regularity_strength"),
+        (F.col("_strength") > 0.5).alias("schedule_regular_times"),
         F.col("first_timestamp"),
         F.col("last_timestamp"),
         ((F.unix_micros("last_timestamp") - F.unix_micros("first_timestamp")) / 3.6e9)
         .alias("duration_hours"),
     ]
-    return Block(aggregates, outputs)
+    return Block(aggregates, outputs, steps)
 
 
 def http_block(columns: Sequence[str], params: Params) -> Block:
@@ -201,10 +208,13 @@ def tallies(events: DataFrame, blocks: Sequence[str] = tuple(BLOCKS),
     chosen = [BLOCKS[name](events.columns, params) for name in blocks]
     aggregates = [F.count("*").alias("n_events")]
     outputs = [F.col(key), F.col("n_events")]
+    steps: dict[str, Column] = {}
     for block in chosen:
         aggregates += block.aggregates
         outputs += block.outputs
-    return events.groupBy(key).agg(*aggregates).select(*outputs)
+        steps |= block.steps
+    grouped = events.groupBy(key).agg(*aggregates)
+    return (grouped.withColumns(steps) if steps else grouped).select(*outputs)
 
 
 def min_size_filter(events: DataFrame, min_events: int, key: str = KEY) -> DataFrame:

@@ -13,6 +13,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
