@@ -39,8 +39,8 @@ def comparable(frame: DataFrame) -> DataFrame:
     """Rounded doubles; instants as microseconds."""
     def cell(name: str, kind: str):
         if kind in ("double", "float"):
-            # Adding zero turns a rounded -0.0 into 0.0.
-            return (F.round(F.col(name), 6) + F.lit(0.0)).alias(name)
+            # The nudge makes exact halves (and -0.0) come out alike on both engines.
+            return F.round(F.col(name) + F.lit(1e-9), 6).alias(name)
         if kind == "timestamp":
             return F.unix_micros(name).alias(name)
         return F.col(name)
@@ -415,7 +415,7 @@ def jaccard_prev_day(spark, sf_dir):
 
 @query
 def jaccard_sets(spark, sf_dir):
-    """Departure days against weekdays' destinations: two short sets in one row."""
+    """User agents seen on a day against those that bought: two short sets in one row."""
     daily = click_events(spark, sf_dir).groupBy("date").agg(
         F.collect_set("user_agent_full").alias("agents"),
         F.collect_set(F.when(F.col("has_order") == 1, F.col("user_agent_full"))).alias("buyers"))
@@ -434,8 +434,10 @@ def scored_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features with rule scores; the hourly Gini stands in for the forest, whose
     random numbers no other engine shares."""
     features = cohort_features(click_events(spark, sf_dir))
-    return scoring.add_scores(features, F.col("hourly_gini"), Params(
+    scored = scoring.add_scores(features, F.col("hourly_gini"), Params(
         thresholds={"high": 0.62, "medium": 0.58, "low": 0.25}))
+    # Equal scores must rank as equal whatever the order of their additions.
+    return scored.withColumn("botness", F.round("botness", 9))
 
 
 @query
