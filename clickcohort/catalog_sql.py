@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 def r6(expr: str, name: str | None = None) -> str:
     """Rounded like the catalog rounds, with the same nudge."""
-    return f"round(({expr})::DOUBLE + 1e-9, 6) AS {name or expr}"
+    return f"round(({expr})::DOUBLE + 1e-9, 6) + 0.0 AS {name or expr}"
 
 
 def lit(text: object) -> str:
@@ -604,7 +604,7 @@ paired AS (
   SELECT t.c_nationkey, t.day, h.revenue, t.no - h.no + 1 AS rn
   FROM numbered t JOIN numbered h
     ON h.c_nationkey = t.c_nationkey AND h.no BETWEEN t.no - 29 AND t.no)
-SELECT c_nationkey, day, {r6(_ewma('revenue', 0.3), 'ewma')} FROM paired GROUP BY 1, 2"""
+SELECT c_nationkey, day, round({_ewma('revenue', 0.3)}, 3) AS ewma FROM paired GROUP BY 1, 2"""
 
 ORACLES["jaccard_prev_day"] = f"""WITH {ev()},
 days AS (SELECT date, lag(date) OVER (ORDER BY date) AS prev FROM (SELECT DISTINCT date FROM ev)),
