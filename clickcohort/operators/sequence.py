@@ -35,7 +35,8 @@ MAX_PIECES = 20_000   # tasks of the range partitioning; pieces grow beyond it
 def is_error(code: Column) -> Column:
     """Outside 2xx. A code that is not a number is no error and ends a burst."""
     number = code.cast("string").try_cast("double")
-    return F.coalesce((number < 200) | (number >= 300), F.lit(False))
+    outside = ((number < 200) | (number >= 300)) & ~F.isnan(number)
+    return F.coalesce(outside, F.lit(False))
 
 
 def _narrow(events: DataFrame, key: str) -> DataFrame:
