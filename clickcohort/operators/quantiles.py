@@ -61,14 +61,22 @@ def exact_quantiles(frame: DataFrame, columns: Sequence[str],
             place = p * (n - 1)
             low = bracket[(i, math.floor(place))][0]
             high = bracket[(i, math.ceil(place))][0]
-            out[name].append(low + (high - low) * (place - math.floor(place)))
+            out[name].append(_between(low, high, place - math.floor(place)))
     return out
 
 
+def _between(low: float, high: float, part: float) -> float:
+    if math.isinf(high - low):
+        return low * (1 - part) + high * part
+    return low + (high - low) * part
+
+
 def _histograms(values: DataFrame, spans: list[tuple[int, float, float]]):
     def cell(span_id: int, i: int, low: float, high: float) -> Column:
         v = F.col(f"c{i}")
-        place = (v / 2 - low / 2) / (high / 2 - low / 2) * BINS
+        # Halved only where the width itself would overflow.
+        half = 0.5 if math.isinf(high - low) else 1.0
+        place = (v * half - low * half) / (high * half - low * half) * BINS
         bin_no = F.least(F.floor(place), F.lit(BINS - 1)).cast("int")
         return F.when(v.between(low, high), F.struct(
             F.lit(span_id).alias("span"), bin_no.alias("bin"), v.alias("v")))
