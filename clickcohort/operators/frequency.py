@@ -156,11 +156,12 @@ def _outputs(kinds: dict[str, Column], patterns: bool,
 
 
 def leading_values(events: DataFrame, identity: Sequence[str] = IDENTITY,
-                   key: str = KEY) -> DataFrame:
+                   min_events: int = 1, key: str = KEY) -> DataFrame:
     """Columns of the first row of each cohort, and its most common full user agent.
 
     "First" is the smallest ``row_id``. Ties for the most common go to the smallest
-    text. Both work on counted values, not on rows.
+    text. Both work on counted values, not on rows. Cohorts with fewer than
+    ``min_events`` events are left out.
     """
     have = [c for c in identity if c in events.columns]
     packed = F.concat_ws(
@@ -178,10 +179,12 @@ def leading_values(events: DataFrame, identity: Sequence[str] = IDENTITY,
     )
     is_who, is_full = F.col("kind") == "who", F.col("kind") == "full"
     known = is_full & F.col("value").isNotNull()
-    aggregates = [F.min_by("value", F.when(is_who, F.col("first_row"))).alias("_who")]
+    aggregates = [
+        F.min_by("value", F.when(is_who, F.col("first_row"))).alias("_who"),
+        F.sum(F.when(is_who, F.col("n"))).alias("_events"),
+    ]
     if has_full:
         aggregates += [
-            F.sum(F.when(is_who, F.col("n"))).alias("_events"),
             F.min_by("value", F.when(known, F.struct((-F.col("n")).alias("n"), "value")))
             .alias("_full"),
             F.max(F.when(known, F.col("n"))).alias("_full_n"),
@@ -195,7 +198,8 @@ def leading_values(events: DataFrame, identity: Sequence[str] = IDENTITY,
             F.coalesce(F.col("_full_n") / F.col("_events"), F.lit(0.0))
             .alias("ua_full_mode_share"),
         ]
-    return counted.groupBy(key).agg(*aggregates).select(key, *outputs)
+    grouped = counted.groupBy(key).agg(*aggregates).where(F.col("_events") >= min_events)
+    return grouped.select(key, *outputs)
 
 
 def order_value_outputs(frame: DataFrame) -> DataFrame:

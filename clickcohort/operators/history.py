@@ -119,10 +119,10 @@ def jaccard_vs_previous_day(cohorts: DataFrame, signatures: DataFrame) -> DataFr
     any number of signatures stays spread over tasks.
     """
     days = signatures.select("date").distinct()
-    previous = days.select(
-        "date",
-        # One row per calendar day.
-        F.lag("date").over(Window.partitionBy(F.lit(0)).orderBy("date")).alias("prev_date"))
+    # One row per calendar day, so one window and a broadcast are safe.
+    previous = F.broadcast(days.select(
+        "date", F.lag("date").over(Window.partitionBy(F.lit(0)).orderBy("date"))
+        .alias("prev_date")))
     keys = ["date", *IDENTITY]
     dated = signatures.join(previous, "date")
     earlier = signatures.select(

@@ -190,7 +190,11 @@ def fit_forest(features: DataFrame, columns: Sequence[str] | None = None,
 
     dealt = _deal(features.select(key, _vector(columns).alias("x")), key, n, samples,
                   params.n_trees, seed)
-    nodes = dealt.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    # An explicit count keeps the trees apart: by size alone they would be merged into
+    # a few tasks, and growing a tree costs time rather than bytes.
+    tasks = min(params.n_trees, 2 * features.sparkSession.sparkContext.defaultParallelism)
+    nodes = (dealt.repartition(tasks, "tree_id").groupBy("tree_id")
+             .applyInPandas(grow, NODE_SCHEMA).toPandas())
     return Forest(nodes.sort_values(["tree_id", "node_id"], ignore_index=True), columns, samples)
 
 

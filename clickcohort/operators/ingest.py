@@ -62,6 +62,7 @@ TEXT_COLUMNS = (
 PASSENGERS = ("num_adults", "num_children", "num_infants")
 KEY_PARTS = ("date", "site", "partner", "ip", "user_agent")
 _NULL_SALTS = 4096
+_GRID = 16
 
 
 def rename_columns(frame: DataFrame) -> DataFrame:
@@ -76,14 +77,16 @@ def with_row_id(frame: DataFrame) -> DataFrame:
 
 
 def join_addresses(frame: DataFrame, addresses: DataFrame, how: str = "left",
-                   dedupe_clicks: bool = False) -> DataFrame:
+                   dedupe_clicks: bool = False, hot_click_rows: int = 1_000_000) -> DataFrame:
     """Add ``ip`` from (click, addr) by ``click_id``.
 
     ``left`` keeps unmatched rows as 'unknown', ``inner`` drops them. A null id
     matches nothing. Clicks listed twice multiply events unless ``dedupe_clicks``.
 
     Rows without an id could all land in one task; a second join key, which is
-    never 0 for them and always 0 on the other side, spreads them.
+    never 0 for them and always 0 on the other side, spreads them. An id frequent
+    among the events is split by adaptive execution; one with more than
+    ``hot_click_rows`` addresses (a placeholder, say) is joined on a grid of tasks.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unknown join: {how}")
@@ -93,6 +96,43 @@ def join_addresses(frame: DataFrame, addresses: DataFrame, how: str = "left",
         known = known.groupBy("click").agg(F.min("addr").alias("addr"))
     events = with_row_id(frame.withColumn("click_id", F.col("click_id").cast("string")))
     events = events.drop("ip")
+    hot = None if dedupe_clicks else (
+        known.groupBy("click").agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > hot_click_rows).select("click"))
+    if hot is None or hot.isEmpty():
+        return _join_by_click(events, known, how)
+    # At most rows / hot_click_rows ids.
+    is_hot = F.broadcast(hot)
+    by_id = [F.col("click_id") == F.col("click")]
+    ordinary = _join_by_click(events.join(is_hot, by_id, "left_anti"),
+                              known.join(is_hot, "click", "left_anti"), how)
+    return ordinary.unionByName(_join_on_grid(
+        events.join(is_hot, by_id, "left_semi"), known.join(is_hot, "click", "left_semi"), how))
+
+
+def _join_on_grid(events: DataFrame, known: DataFrame, how: str) -> DataFrame:
+    """Inner join of ids that all have a match: each id is spread over a square of
+    tasks, a row of the square per share of its events, a column per share of its
+    addresses."""
+    side = F.sequence(F.lit(0), F.lit(_GRID - 1))
+
+    def share(*columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(_GRID)).cast("int")
+
+    left = events.withColumns({"_row": share("row_id"), "_column": F.explode(side)})
+    # Equal addresses of an id are split by counting them first.
+    right = known.groupBy("click", "addr").agg(F.count("*").alias("_times")).withColumns(
+        {"_column": share("addr"), "_row": F.explode(side)})
+    joined = left.join(right, (F.col("click_id") == F.col("click"))
+                       & (left["_row"] == right["_row"])
+                       & (left["_column"] == right["_column"]), "inner")
+    repeated = joined.withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    ip = F.coalesce("addr", F.lit("unknown")) if how == "left" else F.col("addr")
+    return repeated.withColumn("ip", ip).select(*events.columns, "ip")
+
+
+def _join_by_click(events: DataFrame, known: DataFrame, how: str) -> DataFrame:
     if how == "inner":
         joined = events.where(F.col("click_id").isNotNull()).join(
             known, F.col("click_id") == F.col("click"), "inner")

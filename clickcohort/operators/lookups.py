@@ -25,7 +25,12 @@ def ua_ip_diversity(events: DataFrame) -> DataFrame:
 
 
 def add_ua_ip_diversity(cohorts: DataFrame, events: DataFrame) -> DataFrame:
-    """Look up the modal full user agent of each cohort (columns date, ua_full)."""
+    """Look up the modal full user agent of each cohort.
+
+    ``cohorts`` needs date, ua_full and ua_full_mode_share. Its rows are shuffled by
+    user agent, so pass narrow ones; a user agent common to many cohorts is left to
+    the skew join of adaptive execution.
+    """
     per_agent = ua_ip_diversity(events).withColumnRenamed("user_agent_full", "ua_full")
     per_day = distinct_count(events, ["date"], "ip", "_day_ips")
     # A cohort without any full user agent (share 0) counts as one address.
@@ -33,7 +38,7 @@ def add_ua_ip_diversity(cohorts: DataFrame, events: DataFrame) -> DataFrame:
     found = F.when(known, F.coalesce("ip_diversity", F.lit(1))).otherwise(F.lit(1)).cast("long")
     return (
         cohorts.join(per_agent, ["date", "ua_full"], "left")
-        .join(per_day, "date", "left")
+        .join(F.broadcast(per_day), "date", "left")  # one row per calendar day
         .withColumns({
             "ua_full_ip_diversity": found,
             "ua_full_ip_diversity_ratio": F.when(

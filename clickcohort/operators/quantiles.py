@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BINS = 1024
+BINS = 4096
 
 
 def _number(name: str) -> Column:
@@ -83,7 +83,7 @@ def _histograms(values: DataFrame, spans: list[tuple[int, float, float]]):
 
     cells = F.array(*[cell(s, i, low, high) for s, (i, low, high) in enumerate(spans)])
     rows = (
-        values.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("_c"))
+        values.select(F.explode(cells).alias("_c")).where(F.col("_c").isNotNull())
         .groupBy("_c.span", "_c.bin")
         .agg(F.count("*").alias("n"), F.min("_c.v").alias("lo"), F.max("_c.v").alias("hi"))
         .collect()

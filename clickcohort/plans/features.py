@@ -53,8 +53,16 @@ def cohort_features(events: DataFrame, params: Params = Params()) -> DataFrame:
     """
     events = with_row_id(events.where(F.col(KEY).isNotNull()))
     have = set(events.columns)
+    # Look-ups by other keys run on the narrow identity rows, before the wide blocks.
+    who = leading_values(events, min_events=params.min_events)
+    if {"user_agent_full", "ip", "date"} <= have:
+        who = add_ua_ip_diversity(who, events)
+    if {"ip", "user_agent", "date"} <= have:
+        who = add_ua_churn(who, events)
+    else:
+        who = who.withColumn("ua_churn_per_ip_day", F.lit(1).cast("long"))
     out = tallies(events, params=params).where(F.col("n_events") >= params.min_events)
-    out = out.join(leading_values(events), KEY, "left")
+    out = out.join(who, KEY, "left")
     out = order_value_outputs(_with_order_values(out.join(frequency_features(events), KEY, "left")))
     out = out.join(sequence_features(events, params), KEY, "left")
     if "dep_date" in have:
@@ -63,12 +71,6 @@ def cohort_features(events: DataFrame, params: Params = Params()) -> DataFrame:
     else:
         out = out.withColumns({"ladder_sweep": F.lit(False),
                                "ladder_sweep_count": F.lit(0).cast("long")})
-    if {"user_agent_full", "ip", "date"} <= have:
-        out = add_ua_ip_diversity(out, events)
-    if {"ip", "user_agent", "date"} <= have:
-        out = add_ua_churn(out, events)
-    else:
-        out = out.withColumn("ua_churn_per_ip_day", F.lit(1).cast("long"))
     return out.select(*[c for c in FEATURE_ORDER if c in out.columns])
 
 

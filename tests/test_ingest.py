@@ -195,6 +195,26 @@ def test_hot_null_ids_are_spread(spark, tmp_path):
     assert joined.where(F.col("ip") == "unknown").count() == 400
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_clicks_give_the_same(spark, how):
+    """The grid against the plain join, with copies, null addresses and unmatched ids."""
+    raw = spark.range(60).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 3 == 0, "0").when(F.col("id") % 7 != 0, F.col("id").cast("string"))
+        .alias("click_id"))
+    addresses = spark.range(90).select(
+        F.when(F.col("id") % 2 == 0, "0").otherwise((F.col("id") % 50).cast("string")).alias("click"),
+        F.when(F.col("id") != 4, (F.col("id") % 9).cast("string")).alias("addr"))
+    plain = ops.join_addresses(raw, addresses, how)
+    grid = ops.join_addresses(raw, addresses, how, hot_click_rows=10)
+    assert sorted(grid.columns) == sorted(plain.columns)
+    order = ["row_id", "ip"]
+    expected = plain.select(*order).orderBy(*order).collect()
+    if how == "left":                       # a matched click without an address
+        assert any(r["ip"] == "unknown" for r in expected)
+    assert grid.select(*order).orderBy(*order).collect() == expected
+
+
 def test_days_are_replaced_one_by_one(spark, tmp_path):
     path = str(tmp_path / "days")
     one = spark.createDataFrame([("2025-01-01", 1)], "date string, v int")
