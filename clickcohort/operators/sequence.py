@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clickcohort.operators.layout import HotCohorts, find_hot, split_hot
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
 from clickcohort.session import ensure_checkpoint_dir
@@ -50,23 +51,23 @@ def _names(percentiles: Sequence[int]) -> list[str]:
     return [f"gap_p{p}" for p in percentiles]
 
 
-def sequence_features(events: DataFrame, params: Params = Params(), key: str = KEY) -> DataFrame:
+def sequence_features(events: DataFrame, params: Params = Params(), key: str = KEY,
+                      hot: HotCohorts | None | str = "find") -> DataFrame:
     """gap_p*, gap_p95_over_p50, max_run_lt_1s, share_lt_2s, error_bursts per cohort.
 
     A cohort without a gap has percentiles 0 and nulls in the other gap columns.
+    Pass ``hot`` when the hot cohorts are known already.
     """
     rows = _narrow(events, key)
-    sizes = (rows.groupBy(key).agg(F.count("*").alias("size"))
-             .where(F.col("size") > params.hot_cohort_rows))
-    n_hot, hot_rows = sizes.agg(F.count("*"), F.sum("size")).first()
-    if not n_hot:
+    if hot == "find":
+        hot = find_hot(rows, params.hot_cohort_rows, key)
+    if hot is None:
         measured = _by_window(rows, params, key)
     else:
-        # At most rows / hot_cohort_rows keys.
-        hot_keys = F.broadcast(sizes.select(key))
-        pieces = min(MAX_PIECES, 2 * math.ceil(hot_rows / params.hot_cohort_rows))
-        measured = _by_window(rows.join(hot_keys, key, "left_anti"), params, key).unionByName(
-            _by_pieces(rows.join(hot_keys, key, "left_semi"), pieces, params, key))
+        pieces = min(MAX_PIECES, 2 * math.ceil(hot.rows / params.hot_cohort_rows))
+        ordinary, large = split_hot(rows, hot, key)
+        measured = _by_window(ordinary, params, key).unionByName(
+            _by_pieces(large, pieces, params, key))
     return _finish(measured, params, key)
 
 

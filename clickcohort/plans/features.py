@@ -1,9 +1,10 @@
 """Event table to one row per cohort.
 
-The events are never shuffled as they are. Each block first combines its own narrow
-columns map-side and brings only those partial results to the cohort; blocks are
-then joined at cohort size, where all of them are already partitioned by the key.
-Small cohorts are dropped after aggregation instead of by a join on the events.
+Each block shuffles only its own narrow columns, once, to the cohort, or, for cohorts
+too large for one task, combines them map-side and spreads them by value (see
+operators/layout.py). The blocks are then joined at cohort size, where all of them
+are already partitioned by the key. Small cohorts are dropped after aggregation
+instead of by a join on the events.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from clickcohort.operators.frequency import (
 )
 from clickcohort.operators.ingest import with_row_id
 from clickcohort.operators.ladder import ladder_sweep
+from clickcohort.operators.layout import by_cohort, find_hot
 from clickcohort.operators.lookups import add_ua_churn, add_ua_ip_diversity
 from clickcohort.operators.sequence import sequence_features
 from clickcohort.operators.tallies import KEY, tallies
@@ -53,21 +55,28 @@ def cohort_features(events: DataFrame, params: Params = Params()) -> DataFrame:
     """
     events = with_row_id(events.where(F.col(KEY).isNotNull()))
     have = set(events.columns)
+    hot = find_hot(events, params.hot_cohort_rows)
+
+    def block(compute) -> DataFrame:
+        return by_cohort(events, hot, compute)
+
     # Look-ups by other keys run on the narrow identity rows, before the wide blocks.
-    who = leading_values(events, min_events=params.min_events)
+    who = block(lambda e: leading_values(e, min_events=params.min_events))
     if {"user_agent_full", "ip", "date"} <= have:
         who = add_ua_ip_diversity(who, events)
     if {"ip", "user_agent", "date"} <= have:
         who = add_ua_churn(who, events)
     else:
         who = who.withColumn("ua_churn_per_ip_day", F.lit(1).cast("long"))
-    out = tallies(events, params=params).where(F.col("n_events") >= params.min_events)
+    out = block(lambda e: tallies(e, params=params)).where(
+        F.col("n_events") >= params.min_events)
     out = out.join(who, KEY, "left")
-    out = order_value_outputs(_with_order_values(out.join(frequency_features(events), KEY, "left")))
-    out = out.join(sequence_features(events, params), KEY, "left")
+    out = order_value_outputs(_with_order_values(
+        out.join(block(frequency_features), KEY, "left")))
+    out = out.join(sequence_features(events, params, hot=hot), KEY, "left")
     if "dep_date" in have:
-        out = out.join(ladder_sweep(events, distinct_dates=params.ladder_distinct_dates),
-                       KEY, "left")
+        out = out.join(block(lambda e: ladder_sweep(
+            e, distinct_dates=params.ladder_distinct_dates)), KEY, "left")
     else:
         out = out.withColumns({"ladder_sweep": F.lit(False),
                                "ladder_sweep_count": F.lit(0).cast("long")})

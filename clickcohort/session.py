@@ -22,6 +22,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    if master.startswith("local"):
+        builder = builder.config("spark.driver.memory", "12g")  # one JVM does all the work
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clickcohort.operators.frequency import frequency_features, leading_values
 from clickcohort.operators.ladder import ladder_sweep
+from clickcohort.operators.layout import by_cohort
 from clickcohort.operators.lookups import ua_churn
 from clickcohort.operators.sequence import sequence_features
 from clickcohort.operators.tallies import KEY, min_size_filter, tallies
@@ -282,7 +283,21 @@ def test_row_order_and_partitions_do_not_matter(spark):
     assert cohort_features(shuffled).orderBy(KEY).collect() == plain
 
 
-def test_events_are_only_shuffled_once_per_ordered_block(spark):
+def test_hot_cohorts_do_not_change_features(spark):
+    events = four_cohorts(spark)
+    plain = cohort_features(events).orderBy(KEY).collect()
+    assert cohort_features(events, Params(hot_cohort_rows=8)).orderBy(KEY).collect() == plain
+
+
+def test_ordinary_cohorts_are_shuffled_once_per_block(spark):
+    events = four_cohorts(spark)
+    for compute in (tallies, frequency_features, leading_values, ladder_sweep):
+        frame = by_cohort(events, None, compute)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_rows_are_combined_before_every_shuffle(spark):
     """Every exchange of the tally and frequency blocks sits above a partial aggregate."""
     for frame in (tallies(four_cohorts(spark)), frequency_features(four_cohorts(spark))):
         plan = frame._jdf.queryExecution().sparkPlan().toString()
