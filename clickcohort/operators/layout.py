@@ -1,10 +1,9 @@
 """Where the rows of a cohort meet.
 
-Most cohorts are small and their rows are scattered over all input files, so
-combining them map-side gains little: their (column-pruned) rows are brought to one
-task by a single shuffle, after which every group-by on the cohort is local. A cohort
-with more than ``limit`` rows is never brought together as rows; it keeps the plan
-that combines map-side and spreads by value.
+Without a very large cohort, the (column-pruned) rows of each cohort are brought to
+one task by a single shuffle, after which every group-by on the cohort is local. With
+one, no cohort is brought together as rows: every group-by combines map-side and
+spreads by value before it comes back to the cohort.
 """
 
 from __future__ import annotations
@@ -43,8 +42,5 @@ def split_hot(events: DataFrame, hot: HotCohorts, key: str = KEY) -> tuple[DataF
 
 def by_cohort(events: DataFrame, hot: HotCohorts | None, compute: Compute,
               key: str = KEY) -> DataFrame:
-    """``compute`` over ordinary cohorts side by side and over hot ones spread out."""
-    if hot is None:
-        return compute(events.repartition(key))
-    ordinary, large = split_hot(events, hot, key)
-    return compute(ordinary.repartition(key)).unionByName(compute(large))
+    """``compute`` in the layout that suits the largest cohort; same result either way."""
+    return compute(events.repartition(key) if hot is None else events)

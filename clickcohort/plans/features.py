@@ -1,7 +1,7 @@
 """Event table to one row per cohort.
 
-Each block shuffles only its own narrow columns, once, to the cohort, or, for cohorts
-too large for one task, combines them map-side and spreads them by value (see
+Each block shuffles only its own narrow columns, once, to the cohort, or, when a cohort
+is too large for one task, combines them map-side and spreads them by value (see
 operators/layout.py). The blocks are then joined at cohort size, where all of them
 are already partitioned by the key. Small cohorts are dropped after aggregation
 instead of by a join on the events.
