@@ -8,7 +8,7 @@ from clickcohort.operators.ladder import ladder_sweep
 from clickcohort.operators.layout import by_cohort
 from clickcohort.operators.lookups import ua_churn
 from clickcohort.operators.sequence import sequence_features
-from clickcohort.operators.tallies import KEY, min_size_filter, tallies
+from clickcohort.operators.tallies import KEY, min_size_filter, rate, tallies
 from clickcohort.params import Params
 from clickcohort.plans.features import cohort_features
 from fixtures import at, day, events_from, four_cohorts, run
@@ -202,6 +202,13 @@ def test_status_and_hygiene(spark):
     assert (row["cookie_rate"], row["referrer_rate"]) == (0.6, 0.8)
 
 
+def test_rate_needs_its_minimum(spark):
+    row = spark.range(1).select(rate(F.lit(1), F.lit(5), 10).alias("few"),
+                                rate(F.lit(1), F.lit(5)).alias("enough"),
+                                rate(F.lit(1), F.lit(0)).alias("none")).first()
+    assert (row["few"], row["enough"], row["none"]) == (0.0, 0.2, 0.0)
+
+
 def test_schedule_regularity(spark):
     assert only(tallies(events_from(spark, run("2025-01-15T10:00:00", 5, 900)), ["time"]))[
         "schedule_regular_times"] is True
