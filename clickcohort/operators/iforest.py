@@ -15,16 +15,21 @@ the 256 of the published method. Every cohort is scored at any size.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
 
+# The tree functions travel with the tasks, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_NODES = 2_000_000
 EULER_GAMMA = 0.5772156649015329
 
