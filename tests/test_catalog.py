@@ -38,4 +38,4 @@ def test_rows(spark, name):
 def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() > 0
-    assert __spark_entry__.queries().keys() == QUERIES.keys()
+    assert QUERIES.keys() <= __spark_entry__.queries().keys()
