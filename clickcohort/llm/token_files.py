@@ -15,11 +15,12 @@ one id, the end. Rows that repeat are written again. Empty partitions write noth
 empty table gives an empty manifest. Only doc_id and text are read. Folders are opened with
 pyarrow's file systems, so any shared storage that it knows will do.
 
-Encoding: the tokenizer's normaliser and pre-tokenizer never join or split across ASCII
-white space in a way that depends on the other side, so a text's ids are those of its words
-in turn. Each distinct word of a batch is encoded once by the library and its ids are put
-in place with numpy. `by_words` checks the tokenizer's declaration for that; other
-tokenizers encode whole texts.
+Encoding: where a tokenizer's normaliser and pre-tokenizer never look across ASCII white
+space, a text's ids are those of its words in turn. Each distinct word of a run of texts is
+then encoded once by the library and its ids are put in place with numpy. `by_words` checks
+the tokenizer's declaration for that; other tokenizers encode whole texts. Case is folded
+first where the declaration folds it anyway, and a mark is parted from the letter before it
+where the declared pattern does so, which makes fewer distinct words and the same ids.
 """
 
 from __future__ import annotations
@@ -43,7 +44,10 @@ from clickcohort.llm.token_counts import by_bytes
 
 LENGTH, BATCH = 2048, 64
 _RUN_BYTES = 4 << 20
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS, _GROUP = 400_000, 128
+#: Fixed value: the declared pattern by which a letter and a mark after it are always parted.
+_LETTERS_OR_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_MARKS = r".,;:!?*%&$#"
 _MANIFEST = "shard int, name string, n_docs bigint, n_ids bigint"
 
 
@@ -57,10 +61,24 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.end = end_id
-        self.by_words = by_words(path)
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
-        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
-        self.known: dict[str, np.ndarray] = {}
+        self.kind = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
+        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        self.by_words = by_words(told)
+        if self.by_words:
+            self.added = [a["content"] for a in told["added_tokens"]]
+            self.folds = any(x["type"] == "Lowercase" for x in _steps(told["normalizer"],
+                                                                     "normalizers"))
+            pattern = _steps(told["pre_tokenizer"], "pretokenizers")[0]["pattern"]["Regex"]
+            self.parts = pattern == _LETTERS_OR_MARKS and not any(
+                re.search(r"\w[^\w\s]", a) and re.search(f"[a-zA-Z][{_MARKS}]", a)
+                for a in self.added)
+            suffix = told["model"].get("end_of_word_suffix")
+            self.closes = np.zeros(size, dtype=bool)
+            for token, number in self.tokenizer.get_vocab().items():
+                self.closes[number] = bool(suffix) and token.endswith(suffix)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.by_words:
@@ -70,8 +88,22 @@ class Encoder:
         flat = [i for x in ids for i in (*x, self.end)]
         return np.array(flat, dtype=self.kind), counts
 
+    def _simpler(self, texts: pa.Array) -> pa.Array:
+        """Texts of the same ids with fewer distinct words."""
+        if self.folds:
+            folded = pc.ascii_lower(texts)
+            for token in self.added:  # folding must not make an added token
+                folded = pc.if_else(pc.match_substring(texts, token, ignore_case=True), texts,
+                                    folded)
+            texts = folded
+        if self.parts:
+            # All letters but U+0130, the only one that folds to a letter and a mark.
+            texts = pc.replace_substring_regex(
+                texts, rf"([^\P{{L}}\x{{130}}])([{_MARKS}])", r"\1 \2")
+        return texts
+
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        lists = pc.ascii_split_whitespace(self._simpler(pa.array(texts, pa.large_string())))
         coded = lists.values.dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         ids, size = self._distinct(coded.dictionary.to_pylist())
@@ -91,26 +123,43 @@ class Encoder:
     def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) + len(words) > _KNOWN_WORDS:
             self.known = {}
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part,
-                                                                   add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype=self.kind)
-        found = [self.known[w] for w in words]
-        flat = np.concatenate(found) if found else np.empty(0, dtype=self.kind)
-        return flat, np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-
-
-def by_words(path: str) -> bool:
-    """Whether a tokenizer file declares only steps that keep apart what white space parts."""
-    with open(path, encoding="utf-8") as file:
-        told = json.load(file)
+        known = self.known
+        new = [w for w in words if w not in known]
+        # A run of letters is one piece and its last token alone closes a word.
+        plain = [w for w in new if w.isalpha()] if self.parts and self.closes.any() else []
+        rest = [w for w in new if not w.isalpha()] if plain else new
+        groups = [plain[at:at + _GROUP] for at in range(0, len(plain), _GROUP)]
+        for group, found in zip(groups, self._encoded([" ".join(g) for g in groups])):
+            raw = np.array(found, dtype=self.kind)
+            ends = np.flatnonzero(self.closes[raw]) + 1
+            if len(ends) != len(group):
+                rest += group
+                continue
+            data, width, begin = raw.tobytes(), self.kind.itemsize, 0
+            for word, end in zip(group, (ends * width).tolist()):
+                known[word] = data[begin:end]
+                begin = end
+        for word, found in zip(rest, self._encoded(rest)):
+            known[word] = np.array(found, dtype=self.kind).tobytes()
+        every = [known[w] for w in words]
+        size = np.fromiter(map(len, every), dtype=np.int64, count=len(every))
+        return np.frombuffer(b"".join(every), dtype=self.kind), size // self.kind.itemsize
+
+    def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 1024):
+            for found in self.tokenizer.encode_batch_fast(texts[at:at + 1024],
+                                                          add_special_tokens=False):
+                yield found.ids
 
-    def steps(x, key):
-        return x.get(key, [x]) if x else []
-    normal = steps(told["normalizer"], "normalizers")
-    split = steps(told["pre_tokenizer"], "pretokenizers")
+
+def _steps(declared: dict | None, key: str) -> list[dict]:
+    return declared.get(key, [declared]) if declared else []
+
+
+def by_words(told: dict) -> bool:
+    """Whether a tokenizer file declares only steps that keep apart what white space parts."""
+    normal = _steps(told["normalizer"], "normalizers")
+    split = _steps(told["pre_tokenizer"], "pretokenizers")
     if not all(x["type"] in ("NFC", "Lowercase") or x == {
             "type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "} for x in normal):
         return False
