@@ -372,8 +372,8 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     links = stored(_verified(close, segments, num, den), "ngram-links")
 
     roots = components(links).select(F.col("node").alias("class"), F.col("root").alias("component"))
-    known = chosen.join(roots, "class", "left").select(
-        "class", "sketch", F.coalesce("component", "class").alias("component"))
+    known = stored(chosen.join(roots, "class", "left").select(
+        "class", "sketch", F.coalesce("component", "class").alias("component")), "ngram-known")
     placed = shared.join(known, "class")
     mixed = (shared.join(known.drop("sketch"), "class").groupBy("gram")
              .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -384,9 +384,16 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                     "ngram-across")
     more = stored(_verified(across, segments, num, den), "ngram-links")
 
-    final = components(links.union(more)).select(F.col("node").alias("class"), "root")
-    rooted = classes.select("class", "smallest").join(final, "class", "left").select(
-        "class", "smallest", F.coalesce("root", "class").alias("root"))
+    # Links found across components join the components, not their members again.
+    one = known.select(F.col("class").alias("a"), F.col("component").alias("x"))
+    two = known.select(F.col("class").alias("b"), F.col("component").alias("y"))
+    merged = components(more.join(one, "a").join(two, "b").select(
+        F.col("x").alias("a"), F.col("y").alias("b")))
+    merged = merged.select(F.col("node").alias("component"), "root")
+    rooted = (classes.select("class", "smallest").join(roots, "class", "left")
+              .withColumn("component", F.coalesce("component", "class"))
+              .join(merged, "component", "left")
+              .select("class", "smallest", F.coalesce("root", "component").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     component = stored(rooted.join(ids, "root").select(
         "class", F.col("root").alias("group"), "component_id"), "ngram-components")
