@@ -14,9 +14,10 @@ n - ceil(n * num / den) + 1 of both (prefix), have similar lengths, and their pa
 n-grams. None of these tests loses a link. Rows of one prefix n-gram form a run; runs are
 cut into salted blocks and each pair of blocks is compared in a task with numpy, so a run of
 any size is spread. First every class is paired with its nearest partner in each run; these
-pairs are counted and joined to components. Then runs are looked through again for pairs
-across components only, which loses no link between components and keeps a group of
-thousands of near copies from being spelled out as pairs.
+pairs are counted and joined to components. As long as that joins any, every class is then
+paired with its nearest partner in another component. What is left is looked through for all
+pairs across components, so no link between components is lost, and a group of thousands
+of near copies is not spelled out as pairs.
 
 Null and blank texts have empty sets, which link with nothing. Documents with fewer words
 than an n-gram have their whole sequence as one. Rows of one doc_id are rows of their own. A
@@ -236,10 +237,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
 
 
 def _pairs(num: int, den: int, nearest: bool) -> Callable:
-    """Pairs of classes in the same group that pass the tests on size, position and sketch.
-
-    nearest: for each row only its closest partner. Else all pairs of different components.
-    """
+    """Pairs of classes of different components in the same group that pass the tests on size,
+    position and sketch. nearest: for each row only its closest partner."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, ["gram", "i", "j"]):
             columns = {c: table.column(c).to_numpy() for c in table.column_names if c != "sketch"}
@@ -258,8 +257,7 @@ def _pairs(num: int, den: int, nearest: bool) -> Callable:
                 b = a + step
                 across = (columns["i"][a] == columns["j"][a]) | (
                     columns["block"][a] != columns["block"][b])
-                if not nearest:
-                    across &= columns["component"][a] != columns["component"][b]
+                across &= columns["component"][a] != columns["component"][b]
                 a, b = a[across], b[across]
                 need = -(-(n[a] + n[b]) * num // (den + num))
                 room = 1 + np.minimum(n[a] - at[a], n[b] - at[b]) - 1
@@ -336,6 +334,31 @@ def _verified(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> Data
                        <= F.col("overlap") * den).select("a", "b")
 
 
+def _merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """class, sketch and component once linked components are one."""
+    one = known.select(F.col("class").alias("a"), F.col("component").alias("x"))
+    two = known.select(F.col("class").alias("b"), F.col("component").alias("y"))
+    # Links join components, not their members again.
+    roots = components(links.join(one, "a").join(two, "b").select(
+        F.col("x").alias("a"), F.col("y").alias("b"))).select(
+        F.col("node").alias("component"), "root")
+    return stored(known.join(roots, "component", "left").select(
+        "class", "sketch", F.coalesce("root", "component").alias("component")), "ngram-known")
+
+
+def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of the runs that meet more than one component, with sketch and component."""
+    mixed = (shared.join(known.drop("sketch"), "class").groupBy("gram")
+             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low <> high").select("gram"))
+    return stored(shared.join(mixed, "gram", "left_semi").join(known, "class"), "ngram-open")
+
+
+def _paired(rows: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    return stored(_blocks(rows).mapInArrow(
+        _pairs(num, den, nearest), "a bigint, b bigint").distinct(), "ngram-pairs")
+
+
 # -- the join -----------------------------------------------------------------------------------
 
 def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
@@ -358,10 +381,8 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     shared = stored(
         prefixes.repartition("gram").sortWithinPartitions("gram", "n", "class")
         .mapInArrow(_in_company(num, den), _PREFIX), "ngram-shared")
-    sketched = shared.join(classes.select("class", "sketch"), "class")
-    close = stored(_blocks(sketched).mapInArrow(_pairs(num, den, nearest=True),
-                                                "a bigint, b bigint").distinct(), "ngram-close")
-
+    every = classes.select("class", "sketch", F.col("class").alias("component"))
+    close = _paired(shared.join(every, "class"), num, den, nearest=True)
     taking_part = close.select(F.col("a").alias("class")).union(close.select("b")).distinct()
     chosen = stored(classes.join(small(taking_part), "class", "left_semi")
                     .select("class", "row_key", "sketch"), "ngram-chosen")
@@ -369,31 +390,22 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
         small(chosen.select("row_key")), "row_key", "left_semi")
     segments = stored(texts.select("text").mapInArrow(_segments(k, order), _SEGMENT)
                       .dropDuplicates(["class", "fragment"]), "ngram-segments")
-    links = stored(_verified(close, segments, num, den), "ngram-links")
-
-    roots = components(links).select(F.col("node").alias("class"), F.col("root").alias("component"))
-    known = stored(chosen.join(roots, "class", "left").select(
-        "class", "sketch", F.coalesce("component", "class").alias("component")), "ngram-known")
-    placed = shared.join(known, "class")
-    mixed = (shared.join(known.drop("sketch"), "class").groupBy("gram")
-             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low <> high").select("gram"))
-    open_rows = stored(placed.join(mixed, "gram", "left_semi"), "ngram-open")
-    across = stored(_blocks(open_rows).mapInArrow(_pairs(num, den, nearest=False),
-                                                  "a bigint, b bigint").distinct(),
-                    "ngram-across")
-    more = stored(_verified(across, segments, num, den), "ngram-links")
 
-    # Links found across components join the components, not their members again.
-    one = known.select(F.col("class").alias("a"), F.col("component").alias("x"))
-    two = known.select(F.col("class").alias("b"), F.col("component").alias("y"))
-    merged = components(more.join(one, "a").join(two, "b").select(
-        F.col("x").alias("a"), F.col("y").alias("b")))
-    merged = merged.select(F.col("node").alias("component"), "root")
-    rooted = (classes.select("class", "smallest").join(roots, "class", "left")
-              .withColumn("component", F.coalesce("component", "class"))
-              .join(merged, "component", "left")
-              .select("class", "smallest", F.coalesce("root", "component").alias("root")))
+    known = chosen.select("class", "sketch", F.col("class").alias("component"))
+    nearest = True
+    while True:
+        links = stored(_verified(close, segments, num, den), "ngram-links")
+        found = bool(links.limit(1).count())
+        if found:
+            known = _merged(known, links)
+        if not nearest:  # all pairs across the components have been looked at
+            break
+        nearest = found
+        close = _paired(_open(shared, known), num, den, nearest)
+
+    rooted = classes.select("class", "smallest").join(
+        known.select("class", "component"), "class", "left").select(
+        "class", "smallest", F.coalesce("component", "class").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     component = stored(rooted.join(ids, "root").select(
         "class", F.col("root").alias("group"), "component_id"), "ngram-components")
