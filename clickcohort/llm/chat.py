@@ -134,11 +134,13 @@ def record_fingerprint(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> C
     known = _known(layouts)
     top = F.json_object_keys(record)
     lists = sorted({path.split("[]")[0] for path in known if "[]" in path})
-    inner = [F.coalesce(F.transform(
-        F.json_object_keys(F.get_json_object(record, f"$.{name}[0]")),
-        lambda key, name=name: F.concat(F.lit(f"{name}[]."), key)),
-        F.array().cast("array<string>")) for name in lists]
-    paths = F.concat(F.coalesce(top, F.array().cast("array<string>")), *inner)
+    none = F.array().cast("array<string>")
+
+    def inside(name: str) -> Column:
+        keys = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
+        return F.coalesce(F.transform(keys, lambda k: F.concat(F.lit(f"{name}[]."), k)), none)
+
+    paths = F.concat(F.coalesce(top, none), *[inside(name) for name in lists])
     kept = F.array_sort(F.array_intersect(paths, F.array(*[F.lit(p) for p in sorted(known)])))
     return F.sha2(F.array_join(kept, "\n"), 256)
 

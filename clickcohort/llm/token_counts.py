@@ -67,8 +67,11 @@ def by_bytes(texts: list[str], limit: int = _BATCH_BYTES) -> Iterator[list[str]]
 
 def _encoder(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = load(path)
+        count = None
         for batch in batches:
+            if not len(batch):
+                continue
+            count = count or load(path)
             counts = [n for run in by_bytes(batch.column("content").to_pylist())
                       for n in count(run)]
             yield pa.record_batch([batch.column("digest"), pa.array(counts, pa.int64())],
