@@ -6,10 +6,10 @@ offsets cancel in the final min-max scaling, so a contamination share has no
 effect and is not a parameter; per-feature scaling does not change the uniform
 split distribution, so no scaler is fitted.
 
-A tree sees ``max_samples`` of the cohorts. ``MAX_NODES`` bounds the whole model
-(and so the broadcast): beyond about MAX_NODES / (2 * n_trees * max_samples)
-cohorts a tree sees MAX_NODES / (2 * n_trees) of them, which is still far above
-the 256 of the published method. Every cohort is scored at any size.
+``max_samples`` is the one rule for what a tree sees, at any number of cohorts: a whole
+number is the rows per tree, as in the published method, and bounds the model (at most
+2 * n_trees * max_samples nodes) whatever the input; a fraction is that share of all cohorts,
+and the model, which is collected and broadcast, then grows with them. Every cohort is scored.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
+from clickcohort.session import ensure_checkpoint_dir
 
 # The tree functions travel with the tasks, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_NODES = 2_000_000
 EULER_GAMMA = 0.5772156649015329
 
 # Numeric columns that are results or labels, never inputs.
@@ -119,7 +119,7 @@ class Forest:
 
     @staticmethod
     def from_table(table: DataFrame) -> Forest:
-        """The inverse of ``to_table``; at most MAX_NODES rows reach the driver."""
+        """The inverse of ``to_table``; the model reaches the driver."""
         head = table.select("columns", "samples").first()
         nodes = table.select(*[f.split()[0] for f in NODE_SCHEMA.split(", ")]).toPandas()
         return Forest(nodes, list(head["columns"]), int(head["samples"]))
@@ -150,22 +150,19 @@ def _deal(frame: DataFrame, key: str, n: int, samples: int, n_trees: int, seed:
     def uniform(*parts: Column) -> Column:
         return F.pmod(F.xxhash64(F.col(key), *parts), F.lit(2 ** 31)) / unit
 
-    if share * n_trees >= 1:
-        trees = F.filter(
-            F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                        lambda t: F.struct(t.alias("tree_id"),
-                                           uniform(t, F.lit(seed)).alias("draw"))),
-            lambda d: d["draw"] < share)
-        dealt = frame.select(F.col(key).alias("key"), "x", F.explode(trees).alias("_d"))
-        return dealt.select("_d.tree_id", "_d.draw", "key", "x")
-    # Few enough rows are needed that each serves one tree at most.
-    tree = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n_trees)).cast("int")
-    return (
-        frame.select(F.col(key).alias("key"), "x", tree.alias("tree_id"),
-                     uniform(F.lit(seed)).alias("draw"))
-        .where(F.col("draw") < share * n_trees)
-        .select("tree_id", "draw", "key", "x")
-    )
+    trees = F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                    lambda t: F.struct(t.alias("tree_id"),
+                                       uniform(t, F.lit(seed)).alias("draw"))),
+        lambda d: d["draw"] < share)
+    dealt = frame.select(F.col(key).alias("key"), "x", F.explode(trees).alias("_d"))
+    return dealt.select("_d.tree_id", "_d.draw", "key", "x")
+
+
+def rows_per_tree(n: int, max_samples: int | float) -> int:
+    """A whole number counts rows, a fraction is a share of them; at least one row."""
+    wanted = max_samples if isinstance(max_samples, int) else int(max_samples * n)
+    return max(1, min(wanted, n))
 
 
 def fit_forest(features: DataFrame, columns: Sequence[str] | None = None,
@@ -178,8 +175,7 @@ def fit_forest(features: DataFrame, columns: Sequence[str] | None = None,
     n = features.count()
     if not columns or n == 0:
         return None
-    cap = MAX_NODES // (2 * params.n_trees)
-    samples = max(1, min(int(params.max_samples * n), cap))
+    samples = rows_per_tree(n, params.max_samples)
     max_depth = math.ceil(math.log2(max(samples, 2)))
     seed = params.seed
 
@@ -244,7 +240,9 @@ def iso_scores(features: DataFrame, forest: Forest | None, orientation: str = "n
         raise ValueError(f"unknown orientation: {orientation}")
     if forest is None:
         return features.select(key, F.lit(0.0).alias("iso_score"))
-    raw = features.select(key, forest.normality(features).alias("_raw"))
+    # Written once: the trees are walked before the scale is known and not again after.
+    ensure_checkpoint_dir(features.sparkSession)
+    raw = features.select(key, forest.normality(features).alias("_raw")).checkpoint()
     low, high = raw.agg(F.min("_raw"), F.max("_raw")).first()
     if low is None or not high > low:
         return features.select(key, F.lit(0.0).alias("iso_score"))
