@@ -118,9 +118,10 @@ def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def address_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(click, addr): signups are not logged, purchases are logged twice."""
-    base = _base(spark, sf_dir).where(F.col("event_type") != "signup")
+    """(click, addr): signups are logged under ids nobody clicked, purchases twice."""
+    base = _base(spark, sf_dir)
     copies = F.when(F.col("event_type") == "purchase", 2).otherwise(1)
     return base.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select(
-        F.col("event_id").cast("string").alias("click"),
+        F.concat(F.when(F.col("event_type") == "signup", "none-").otherwise(""),
+                 F.col("event_id").cast("string")).alias("click"),
         F.concat(F.lit("10.0.0."), (F.col("user_id") % 10).cast("string")).alias("addr"))

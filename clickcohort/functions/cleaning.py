@@ -66,6 +66,13 @@ def parse_timestamp(col: Column, tz: str = "UTC",
     return F.when(is_instant, parsed).otherwise(F.to_utc_timestamp(parsed, tz))
 
 
+def parse_date(col: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
+    """Text to calendar date, ISO or month first; null where it does not parse."""
+    text = strip(col.cast("string"))
+    return F.coalesce(text.try_cast("date"),
+                      *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+
+
 def http_version(col: Column) -> Column:
     """``2.0`` and ``3.0`` are the same protocol as ``2`` and ``3``."""
     return F.when(col == "2.0", "2").when(col == "3.0", "3").otherwise(col)

@@ -179,7 +179,7 @@ def enrich_user_agents(frame: DataFrame, dimension: DataFrame | None) -> DataFra
         if "user_agent" not in frame.columns:
             fixed["user_agent"] = F.lit("unknown")
         return frame.withColumns(fixed) if fixed else frame
-    agent = cleaning.to_number(F.col("user_agent_id")).cast("long")
+    agent = cleaning.to_number(F.col("user_agent_id")).try_cast("long")
     names = {"user_agent": "browserModel", "user_agent_type": "userAgentType",
              "device_type": "device", "os_type": "osType"}
     frame = frame.drop(*names, "user_agent_full").withColumn("user_agent_id", agent)
@@ -229,7 +229,8 @@ def normalize_columns(frame: DataFrame, params: Params = Params(),
             if c in have:
                 out[c] = cleaning.to_number(F.col(c), 0.0)
         if "stops" in have:
-            out["stops"] = cleaning.to_number(F.col("stops"), 0.0).cast("long").cast("string")
+            stops = cleaning.to_number(F.col("stops"), 0.0).try_cast("long")
+            out["stops"] = F.coalesce(stops, F.lit(0)).cast("string")
     return frame.withColumns(out)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickcohort.functions.cleaning import strip
+from clickcohort.functions.cleaning import parse_date, strip
 from clickcohort.operators.tallies import KEY
 
 MIN_DATES = 3     # fewer rows than this are never a sweep
@@ -25,9 +25,10 @@ def ladder_sweep(events: DataFrame, date_col: str = "dep_date", key: str = KEY,
     """
     raw = F.col(date_col)
     text = F.nullif(strip(raw.cast("string")), F.lit(""))
+    day = parse_date(text)
     counted = (
-        events.select(key, text.try_cast("date").alias("day"),
-                      (text.isNotNull() & text.try_cast("date").isNull()).alias("bad"))
+        events.select(key, day.alias("day"),
+                      (text.isNotNull() & day.isNull()).alias("bad"))
         .groupBy(key, "day", "bad").agg(F.count("*").alias("n"))
     )
     order = Window.partitionBy(key).orderBy(F.asc_nulls_first("day"), "bad")

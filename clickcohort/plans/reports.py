@@ -87,9 +87,10 @@ def report_document(scored: DataFrame, date: str, params: Params = Params()) ->
         F.count_if(F.col("risk_band") == b).alias(b.lower()) for b in BANDS])
 
     def top_records(band: str):
-        records = cohort_records(top_of_band(scored, band, params.top_n)).select("record")
-        ordered = F.reverse(F.sort_array(F.collect_list(
-            F.struct(F.col("record.botness").alias("b"), F.col("record")))))
+        records = cohort_records(top_of_band(scored, band, params.top_n))
+        ordered = F.sort_array(F.collect_list(F.struct(
+            (-F.col("record.botness")).alias("b"), F.col(KEY).alias("k"),
+            F.col("record"))))
         return records.agg(F.transform(ordered, lambda r: r["record"])).scalar()
 
     stats = score_statistics(scored).agg(F.sort_array(F.collect_list(F.struct("*")))).scalar()

@@ -108,13 +108,17 @@ def _raw(frame: DataFrame, name: str):
     return frame["`" + name.replace("`", "``") + "`"]
 
 
+def id_columns(frame: DataFrame) -> list[str]:
+    return [c for c in frame.columns if _ID.match(c.strip())]
+
+
 def resolve_ids(frame: DataFrame, strict: bool = False) -> DataFrame:
     """Name the id columns: the first ``ID`` is user_agent_id, the last click_id.
 
     A single ``ID`` serves as both. Without any, the last data column is the click
     id, or, when ``strict``, it is an error.
     """
-    ids = [c for c in frame.columns if _ID.match(c.strip())]
+    ids = id_columns(frame)
     if not ids:
         if strict:
             raise ValueError("no ID column in booking data")

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def write_day(frame: DataFrame, path: str, compression: str = "snappy") -> None:
-    """Replace the dates present in ``frame`` and leave the other dates alone."""
+def write_day(frame: DataFrame, path: str, compression: str = "snappy",
+              date: str | None = None) -> None:
+    """Replace dates and leave the other dates alone.
+
+    With ``date`` the folder of that day is replaced, also by no rows; without, the dates
+    present in ``frame``.
+    """
+    if date is not None:
+        (frame.drop("date").write.mode("overwrite").option("compression", compression)
+         .parquet(f"{path}/date={date}"))
+        return
     (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", compression).partitionBy("date").parquet(path))
 

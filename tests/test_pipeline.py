@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ def test_record_columns(spark):
 
 
 def test_signatures_are_distinct(spark):
-    assert signature_table(four_cohorts(spark)).count() == 5 + 3 + 1 + 3
+    assert signature_table(four_cohorts(spark)).count() == 3 + 6 + 1 + 5
 
 
 def test_feature_columns_exclude_labels(spark):
@@ -129,3 +130,40 @@ def test_feature_columns_exclude_labels(spark):
         [("k", 1, 0.5, True, 0.1, 0.2)],
         "cohort_key string, n_events long, gap_p50 double, ladder_sweep boolean, rule_score double, iso_score double")
     assert iforest.feature_columns(frame) == ["gap_p50", "n_events"]
+
+
+def _clicks(path, n):
+    rows = [f"2025-01-16 10:00:{i:02d},s,1.1.1.1" for i in range(n)]
+    path.write_text("timestamp,site,ip\n" + "\n".join(rows) + "\n")
+    return str(path)
+
+
+def test_quiet_day_and_rerun_with_fewer_rows(spark, tmp_path):
+    root, day = str(tmp_path / "lake"), "2025-01-16"
+    run_day(spark, day, root, csv=_clicks(tmp_path / "full.csv", 8))
+    assert read_day(spark, f"{root}/scores", day).count() == 1
+    out = run_day(spark, day, root, csv=_clicks(tmp_path / "few.csv", 2))
+    for name in ("features", "scores"):
+        assert read_day(spark, f"{root}/{name}", day).count() == 0
+    assert read_day(spark, f"{root}/signatures", day).count() <= 2
+    report = json.loads("".join(p.read_text() for p in
+                                Path(f"{out}/report").glob("part-*")))
+    assert report["metadata"]["total_cohorts"] == 0
+    assert report["summary"]["high_risk_count"] == 0
+
+
+def test_agent_id_of_a_booking_file_without_addresses(spark, tmp_path, dimension):  # noqa: F811
+    lines = [booking(1001 + i % 2, 50 + i, f"2025-09-01 10:00:0{i}") for i in range(4)]
+    write(tmp_path / "b.csv", BOOKING_HEADER, *lines)
+    events = ingest_file(spark, str(tmp_path / "b.csv"), "2025-09-01", str(tmp_path / "lake"),
+                         dimension=dimension)
+    assert {r["user_agent_id"] for r in events.collect()} == {1001, 1002}
+
+
+def test_cells_that_do_not_fit_their_type(spark, tmp_path, dimension):  # noqa: F811
+    write(tmp_path / "b.csv", BOOKING_HEADER,
+          booking("99999999999999999999", 1, "2025-09-01 10:00:00"),
+          booking(1001, 2, "2025-09-01 10:00:01", stops="inf"))
+    events = ingest_file(spark, str(tmp_path / "b.csv"), "2025-09-01", str(tmp_path / "lake"),
+                         dimension=dimension).orderBy("timestamp").collect()
+    assert len(events) == 2 and events[0]["user_agent_id"] is None
