@@ -17,6 +17,7 @@ from clickcohort.params import Params
 
 IDENTITY = ("site", "partner", "ip", "user_agent")
 
+# The features that are averaged over days.
 EWMA_FEATURES = (
     "night_share", "top_signature_share", "gap_p50", "gap_p95",
     "hourly_entropy", "repeat_ratio", "cookie_rate", "referrer_rate",
@@ -29,13 +30,34 @@ def read_history(spark: SparkSession, path: str, date: str,
 
     Days may have been written with different columns.
     """
-    first = (dt.date.fromisoformat(date) - dt.timedelta(days=lookback_days)).isoformat()
-    frame = spark.read.option("mergeSchema", True).parquet(path)
-    frame = frame.withColumn("date", F.col("date").cast("string")).where(
-        (F.col("date") >= first) & (F.col("date") < date))
+    last = dt.date.fromisoformat(date)
+    days = [f"{path}/date={last - dt.timedelta(days=k)}" for k in range(lookback_days, 0, -1)]
+    # Only these folders are opened, however many days the lake holds.
+    there = [day for day in days if _exists(spark, day)]
+    if not there:
+        return None
+    frame = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*there)
+    frame = frame.withColumn("date", F.col("date").cast("string"))
     return None if frame.isEmpty() else frame
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _part(name: str) -> Column:
+    """An identity part as the cohort key has it: null is ``unknown``."""
+    return F.coalesce(F.col(name).cast("string"), F.lit("unknown"))
+
+
+_PARTS = {c: f"_id_{c}" for c in IDENTITY}
+
+
+def _with_parts(frame: DataFrame) -> DataFrame:
+    return frame.withColumns({out: _part(c) for c, out in _PARTS.items()})
+
+
 def ewma_series(frame: DataFrame, keys: Sequence[str], order: str, value: str, alpha: float,
                 lookback: int, name: str) -> DataFrame:
     """Running adjusted EWMA over the last ``lookback`` non-null rows of each key.
@@ -61,7 +83,7 @@ def add_ewma(features: DataFrame, history: DataFrame | None,
         return features
     names = [f for f in EWMA_FEATURES if f in features.columns]
     stored = [f for f in names if f in history.columns]
-    past = history.groupBy(*IDENTITY).agg(F.sort_array(F.collect_list(
+    past = _with_parts(history).groupBy(*_PARTS.values()).agg(F.sort_array(F.collect_list(
         F.struct("date", *[F.col(f).cast("double").alias(f) for f in stored]))).alias("_past"))
 
     def average(feature: str, alpha: float) -> Column:
@@ -71,12 +93,12 @@ def add_ewma(features: DataFrame, history: DataFrame | None,
         values = F.filter(F.transform("_past", lambda r: r[feature]), lambda v: v.isNotNull())
         return F.coalesce(ewma_last(values, alpha), today, F.lit(0.0))
 
-    joined = features.join(past, list(IDENTITY), "left")
+    joined = _with_parts(features).join(past, list(_PARTS.values()), "left")
     return joined.withColumns({
         f"ewma_{f}_{label}": average(f, alpha)
         for f in names
         for label, alpha in (("7d", params.ewma_alpha_7d), ("30d", params.ewma_alpha_30d))
-    }).drop("_past")
+    }).drop("_past", *_PARTS.values())
 
 
 def ewma_over_days(features: DataFrame, params: Params = Params(),
@@ -87,7 +109,7 @@ def ewma_over_days(features: DataFrame, params: Params = Params(),
     excluded. Unlike ``add_ewma`` this joins nothing: it is one window per identity.
     """
     day = F.datediff(F.col("date").cast("date"), F.lit("1970-01-01").cast("date"))
-    frame = (Window.partitionBy(*IDENTITY).orderBy("_day")
+    frame = (Window.partitionBy(*[_part(c) for c in IDENTITY]).orderBy("_day")
              .rangeBetween(-params.lookback_days, -1))
     out = features.withColumn("_day", day)
     columns = {}
@@ -123,27 +145,29 @@ def jaccard_vs_previous_day(cohorts: DataFrame, signatures: DataFrame) -> DataFr
     previous = F.broadcast(days.select(
         "date", F.lag("date").over(Window.partitionBy(F.lit(0)).orderBy("date"))
         .alias("prev_date")))
-    keys = ["date", *IDENTITY]
+    parts = list(_PARTS.values())
+    keys = ["date", *parts]
+    signatures = _with_parts(signatures).select(*keys, "payload_signature").distinct()
     dated = signatures.join(previous, "date")
     earlier = signatures.select(
-        F.col("date").alias("prev_date"), *IDENTITY, "payload_signature",
+        F.col("date").alias("prev_date"), *parts, "payload_signature",
         F.lit(True).alias("_seen"))
     today = (
-        dated.join(earlier, ["prev_date", *IDENTITY, "payload_signature"], "left")
+        dated.join(earlier, ["prev_date", *parts, "payload_signature"], "left")
         .groupBy(*keys)
         .agg(F.count("*").alias("_today"), F.count("_seen").alias("_common"))
     )
-    before = signatures.groupBy(F.col("date").alias("prev_date"), *IDENTITY).agg(
+    before = signatures.groupBy(F.col("date").alias("prev_date"), *parts).agg(
         F.count("*").alias("_before"))
     zero = F.lit(0)
     return (
-        cohorts.join(previous, "date", "left")
+        _with_parts(cohorts).join(previous, "date", "left")
         .join(today, keys, "left")
-        .join(before, ["prev_date", *IDENTITY], "left")
+        .join(before, ["prev_date", *parts], "left")
         .withColumn(
             "jaccard_signatures_vs_prev_day",
             F.when(F.col("prev_date").isNotNull(), jaccard_from_sizes(
                 F.coalesce("_common", zero), F.coalesce("_today", zero),
                 F.coalesce("_before", zero))))
-        .drop("_today", "_common", "_before", "prev_date")
+        .drop("_today", "_common", "_before", "prev_date", *parts)
     )

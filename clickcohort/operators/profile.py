@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -227,32 +228,38 @@ def normalize(frame: DataFrame, method: str = "robust",
     })
 
 
+#: Pairs whose moments are taken in one pass.
+_PAIRS = 300
+
+
+def _pair_correlations(frame: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One aggregate with the moments of each pair over the rows that have both."""
+    moments = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = _clean(a), _clean(b)
+        both = x.isNotNull() & y.isNotNull()
+        moments += [F.covar_pop(x, y).alias(f"cov{i}"),
+                    F.stddev_pop(F.when(both, x)).alias(f"sa{i}"),
+                    F.stddev_pop(F.when(both, y)).alias(f"sb{i}")]
+    rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                     F.try_divide(F.col(f"cov{i}"), F.col(f"sa{i}") * F.col(f"sb{i}"))
+                     .alias("correlation")) for i, (a, b) in enumerate(pairs)]
+    return frame.agg(*moments).select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
 def correlation_pairs(frame: DataFrame, columns: Sequence[str] | None = None,
                       threshold: float | None = None) -> DataFrame:
     """Pearson correlation of each pair of columns over rows that have both.
 
-    (column_a, column_b, correlation); null for a constant column. With a threshold
+    (column_a, column_b, correlation); null for a constant column or no common row. With a threshold
     only pairs whose absolute correlation exceeds it, as absolute value.
     """
     columns = list(columns or numeric_columns(frame))
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                      for i in range(len(columns)) for j in range(i + 1, len(columns))])
-    names = F.array(*[F.lit(c) for c in columns])
-    rows = (
-        frame.select(F.array(*[_clean(c) for c in columns]).alias("v"))
-        .select("v", F.explode(pairs).alias("p"))
-        .select(F.col("p.i").alias("i"), F.col("p.j").alias("j"),
-                F.get("v", F.col("p.i")).alias("a"), F.get("v", F.col("p.j")).alias("b"))
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    )
-    r = F.try_divide(F.col("cov"), F.col("sa") * F.col("sb"))
-    out = (
-        rows.groupBy("i", "j")
-        .agg(F.covar_pop("a", "b").alias("cov"), F.stddev_pop("a").alias("sa"),
-             F.stddev_pop("b").alias("sb"))
-        .select(F.get(names, F.col("i")).alias("column_a"),
-                F.get(names, F.col("j")).alias("column_b"), r.alias("correlation"))
-    )
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    parts = [_pair_correlations(frame, pairs[at:at + _PAIRS])
+             for at in range(0, len(pairs), _PAIRS)]
+    out = reduce(DataFrame.unionByName, parts) if parts else frame.sparkSession.createDataFrame(
+        [], "column_a string, column_b string, correlation double")
     if threshold is None:
         return out
     return out.withColumn("correlation", F.abs("correlation")).where(

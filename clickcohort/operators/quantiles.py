@@ -2,7 +2,8 @@
 
 Each pass counts values in equal-width bins of the open brackets and keeps, per
 wanted rank, the one bin that holds it, with that bin's true minimum and maximum as
-the next bracket. A bracket whose ends are equal is the answer. The data is only
+the next bracket. A bracket whose ends are equal is the answer. Infinite values are counted
+at both ends and set aside, so every bracket is finite and shrinks. The data is only
 scanned and combined map-side; per pass the driver sees at most
 (open brackets x BINS) counts, however many rows there are.
 """
@@ -26,18 +27,33 @@ def exact_quantiles(frame: DataFrame, columns: Sequence[str],
                     probs: Sequence[float]) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles per column; None for a column without values."""
     values = frame.select(*[_number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    infinite = float("inf")
+
+    def finite(i: int) -> Column:
+        return F.when(F.abs(f"c{i}") < infinite, F.col(f"c{i}"))
+
     ends = values.agg(*[
         part for i in range(len(columns))
-        for part in (F.count(f"c{i}"), F.min(f"c{i}"), F.max(f"c{i}"))
+        for part in (F.count(f"c{i}"), F.min(finite(i)), F.max(finite(i)),
+                     F.count_if(F.col(f"c{i}") == -infinite),
+                     F.count_if(F.col(f"c{i}") == infinite))
     ]).first()
-    sizes = {i: ends[3 * i] for i in range(len(columns))}
+    sizes = {i: ends[5 * i] for i in range(len(columns))}
     wanted = {
         (i, rank) for i, n in sizes.items() if n
         for p in probs
         for rank in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))
     }
     # (column, rank) -> (low, high, number of values below low)
-    bracket = {(i, rank): (ends[3 * i + 1], ends[3 * i + 2], 0) for i, rank in wanted}
+    bracket = {}
+    for i, rank in wanted:
+        below, above = ends[5 * i + 3], ends[5 * i + 4]
+        if rank < below:
+            bracket[i, rank] = (-infinite, -infinite, 0)
+        elif rank >= sizes[i] - above:
+            bracket[i, rank] = (infinite, infinite, 0)
+        else:
+            bracket[i, rank] = (ends[5 * i + 1], ends[5 * i + 2], below)
     while True:
         spans = sorted({(i, low, high) for (i, _), (low, high, _) in bracket.items() if low < high})
         if not spans:
@@ -66,6 +82,8 @@ def exact_quantiles(frame: DataFrame, columns: Sequence[str],
 
 
 def _between(low: float, high: float, part: float) -> float:
+    if low == high or not part:
+        return low
     if math.isinf(high - low):
         return low * (1 - part) + high * part
     return low + (high - low) * part

@@ -53,16 +53,18 @@ def day(n: int) -> str:
 
 
 def four_cohorts(spark: SparkSession) -> DataFrame:
-    """Two fast cohorts without cookies and two slow ones with them."""
-    fast = {"http_version": "1.1", "cookie_present": False, "referrer": None}
-    slow = {"http_version": "2", "cookie_present": True, "referrer": "r"}
+    """A night crawler over three dates, a slow sweep, a burst at noon, a slow night visitor."""
+    march = [f"2025-03-{n:02d}" for n in (1, 2, 3)]
     rows = [
-        *run("2025-01-15T22:00:00", 10, 1, ip=".1", dep_date=[
-            day(n) for n in (20, 20, 20, 21, 21, 22, 22, 23, 23, 24)], **fast),
-        *run("2025-01-15T10:30:00", 5, 300, ip=".2", dep_date=[
-            day(n) for n in (25, 25, 26, 26, 27)], **slow),
-        *run("2025-01-15T23:15:00", 11, 1, ip=".3", dep_date=day(28), **fast),
-        *run("2025-01-15T11:00:00", 5, 900, ip=".4", dep_date=[
-            day(n) for n in (29, 29, 30, 30, 31)], **slow),
+        *run("2025-01-15T03:20:00", 12, 4, ip="a", dep_date=march * 4, http_version="1.1",
+             cookie_present=False, referrer=None),
+        *run("2025-01-15T14:45:00", 6, 600, ip="b",
+             dep_date=[f"2025-04-{n:02d}" for n in range(1, 7)], http_version="2",
+             cookie_present=True, referrer="r"),
+        *run("2025-01-15T12:00:00", 15, 0.5, ip="c", dep_date="2025-05-09", http_version="2",
+             cookie_present=False, referrer="r"),
+        *run("2025-01-15T22:30:00", 5, 1200, ip="d",
+             dep_date=[f"2025-06-{n}" for n in (10, 12, 14, 16, 18)], http_version="1.1",
+             cookie_present=True, referrer=None),
     ]
     return events_from(spark, rows)

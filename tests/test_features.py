@@ -26,31 +26,34 @@ def only(frame):
 
 def test_known_cohorts(spark):
     rows = by_ip(cohort_features(four_cohorts(spark)))
+    one_hour, one_to_two, two_to_three = 7.626e-08, 0.918295834, 0.970950594
     expected = {
-        ".1": dict(n_events=10, night_share=1.0, hourly_entropy=7.626e-08, gap_p50=1, gap_p95=1,
-                   share_lt_2s=1.0, schedule_regularity_strength=1.0, num_signatures=5,
-                   top_signature_share=0.3, repeat_ratio=0.5, num_exact_repeats_ge_10=0,
-                   ladder_sweep_count=0, dep_dates_unique=5, duration_hours=0.0025,
-                   http11_share=1, cookie_rate=0, referrer_rate=0),
-        ".2": dict(n_events=5, night_share=0.0, hourly_entropy=7.626e-08, gap_p50=300,
-                   gap_p95=300, share_lt_2s=0.0, schedule_regularity_strength=0.4,
-                   num_signatures=3, top_signature_share=0.4, repeat_ratio=0.4,
-                   num_exact_repeats_ge_10=0, ladder_sweep_count=0, dep_dates_unique=3,
-                   duration_hours=1 / 3, http2_share=1, cookie_rate=1, referrer_rate=1),
-        ".3": dict(n_events=11, night_share=1.0, hourly_entropy=7.626e-08, gap_p50=1, gap_p95=1,
-                   share_lt_2s=1.0, schedule_regularity_strength=1.0, num_signatures=1,
-                   top_signature_share=1.0, repeat_ratio=10 / 11, num_exact_repeats_ge_10=1,
-                   ladder_sweep_count=0, dep_dates_unique=1, duration_hours=10 / 3600,
-                   http11_share=1, cookie_rate=0, referrer_rate=0),
-        ".4": dict(n_events=5, night_share=0.0, hourly_entropy=0.72192817, gap_p50=900,
-                   gap_p95=900, share_lt_2s=0.0, schedule_regularity_strength=1.0,
-                   num_signatures=3, top_signature_share=0.4, repeat_ratio=0.4,
-                   num_exact_repeats_ge_10=0, ladder_sweep_count=0, dep_dates_unique=3,
-                   duration_hours=1.0, http2_share=1, cookie_rate=1, referrer_rate=1),
+        "a": dict(n_events=12, night_share=1.0, hourly_entropy=one_hour, gap_p50=4, gap_p95=4,
+                  share_lt_2s=0.0, schedule_regularity_strength=0.0, num_signatures=3,
+                  top_signature_share=1 / 3, repeat_ratio=0.75, num_exact_repeats_ge_10=0,
+                  ladder_sweep_count=0, dep_dates_unique=3, duration_hours=44 / 3600,
+                  http11_share=1, cookie_rate=0, referrer_rate=0, max_run_lt_1s=0),
+        "b": dict(n_events=6, night_share=0.0, hourly_entropy=one_to_two, gap_p50=600,
+                  gap_p95=600, share_lt_2s=0.0, schedule_regularity_strength=1 / 3,
+                  num_signatures=6, top_signature_share=1 / 6, repeat_ratio=0.0,
+                  num_exact_repeats_ge_10=0, ladder_sweep_count=5, dep_dates_unique=6,
+                  duration_hours=5 / 6, http2_share=1, cookie_rate=1, referrer_rate=1,
+                  max_run_lt_1s=0),
+        "c": dict(n_events=15, night_share=0.0, hourly_entropy=one_hour, gap_p50=0.5,
+                  gap_p95=0.5, share_lt_2s=1.0, schedule_regularity_strength=1.0,
+                  num_signatures=1, top_signature_share=1.0, repeat_ratio=14 / 15,
+                  num_exact_repeats_ge_10=1, ladder_sweep_count=0, dep_dates_unique=1,
+                  duration_hours=7 / 3600, http2_share=1, cookie_rate=0, referrer_rate=1,
+                  max_run_lt_1s=10),
+        "d": dict(n_events=5, night_share=1.0, hourly_entropy=two_to_three, gap_p50=1200,
+                  gap_p95=1200, share_lt_2s=0.0, schedule_regularity_strength=0.4,
+                  num_signatures=5, top_signature_share=0.2, repeat_ratio=0.0,
+                  num_exact_repeats_ge_10=0, ladder_sweep_count=0, dep_dates_unique=5,
+                  duration_hours=4 / 3, http11_share=1, cookie_rate=1, referrer_rate=0,
+                  max_run_lt_1s=0),
     }
     assert set(rows) == set(expected)
     for ip, values in expected.items():
-        assert rows[ip]["max_run_lt_1s"] == 0
         for name, wanted in values.items():
             assert rows[ip][name] == pytest.approx(wanted, abs=1e-6), (ip, name)
 
@@ -58,7 +61,7 @@ def test_known_cohorts(spark):
 def test_ladder_with_distinct_dates(spark):
     counts = {r[KEY].split("|")[3]: r["ladder_sweep_count"] for r in ladder_sweep(
         four_cohorts(spark), distinct_dates=True).collect()}
-    assert counts == {".1": 4, ".2": 2, ".3": 0, ".4": 2}
+    assert counts == {"a": 2, "b": 5, "c": 0, "d": 0}
 
 
 @pytest.mark.parametrize("dates, expected", [
@@ -74,6 +77,7 @@ def test_ladder_with_distinct_dates(spark):
     ([day(1), day(2), day(3), None], (True, 2)),          # nulls are left out
     ([day(1), day(2), None], (False, 0)),
     ([None, None, None], (False, 0)),
+    (["1/15/2025", "01/16/2025", "1/17/2025 8:30", "2025-01-18"], (True, 3)),  # month first
 ])
 def test_ladder(spark, dates, expected):
     row = only(ladder_sweep(events_from(spark, [{"dep_date": d} for d in dates])))
@@ -233,8 +237,8 @@ def test_two_identical_failing_events(spark):
 def test_minimum_size(spark):
     events = four_cohorts(spark)
     assert cohort_features(events, Params(min_events=10)).count() == 2
-    assert cohort_features(events, Params(min_events=12)).count() == 0
-    assert min_size_filter(events, 10).count() == 21
+    assert cohort_features(events, Params(min_events=16)).count() == 0
+    assert min_size_filter(events, 10).count() == 27
 
 
 def test_orders(spark):

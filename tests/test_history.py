@@ -90,3 +90,16 @@ def test_jaccard_with_previous_day(spark):
 def test_latest_day(spark):
     frame = days(spark, [("2025-01-01", "a", 1), ("2025-01-03", "a", 2)], "v int")
     assert [r["v"] for r in history.latest_day(frame).collect()] == [2]
+
+
+def test_null_identity_is_followed(spark):
+    rows = [("2025-01-01", "a", 0.5), ("2025-01-02", "a", 0.1)]
+    table = days(spark, rows, "night_share double").withColumn("partner", F.lit(None).cast("string"))
+    today = table.where("date = '2025-01-02'")
+    row = history.add_ewma(today, table.where("date = '2025-01-01'")).first()
+    assert row["ewma_night_share_7d"] == 0.5 and row["partner"] is None
+    signatures = days(spark, [("2025-01-01", "a", "x"), ("2025-01-02", "a", "y")],
+                      "payload_signature string").withColumn(
+        "partner", F.lit(None).cast("string"))
+    found = history.jaccard_vs_previous_day(today, signatures).first()
+    assert found["jaccard_signatures_vs_prev_day"] == 0.0

@@ -139,3 +139,21 @@ def test_agent_tables(spark):
     found = {r["user_agent_id"]: r["browser_model"]
              for r in profile.user_agent_distribution(events, dimension).collect()}
     assert found == {1: "Chrome", 2: "Unknown"}
+
+
+def test_quantiles_of_infinite_values(spark):
+    inf = float("inf")
+    frame = spark.createDataFrame([(-inf,), (1.0,), (2.0,), (inf,), (3.0,), (inf,)], "v double")
+    assert exact_quantiles(frame, ["v"], (0.0, 0.2, 0.4, 0.6, 1.0))["v"] == [-inf, 1.0, 2.0, 3.0, inf]
+    only = spark.createDataFrame([(inf,), (inf,)], "v double")
+    assert exact_quantiles(only, ["v"], (0.5,))["v"] == [inf]
+
+
+def test_correlation_names_every_pair(spark):
+    frame = spark.createDataFrame(
+        [(1.0, 2.0, None), (2.0, 4.0, None), (None, 1.0, 5.0), (None, 3.0, 6.0)],
+        "a double, b double, c double")
+    matrix = {(r["column_a"], r["column_b"]): r["correlation"]
+              for r in profile.correlation_matrix(frame).collect()}
+    assert len(matrix) == 9
+    assert matrix["a", "b"] == pytest.approx(1.0) and matrix["a", "c"] is None
