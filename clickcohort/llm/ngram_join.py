@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort.llm.common import small, stored
 from clickcohort.llm.components import components
-from clickcohort.llm.shingles import U, runs, shingle_sets
+from clickcohort.llm.shingles import U, runs, shingle_sets, texts_of
 
 _BUCKET_BITS = 20
 _CHUNK = 4096  # buckets a row when counts are moved
@@ -77,7 +77,7 @@ def _describe(k: int) -> Callable:
         total, seen = np.zeros(1 << _BUCKET_BITS, dtype=np.int64), set()
         for batch in batches:
             n, classes, sketches = [], [], []
-            for run in runs(batch.column("text").to_pylist()):
+            for run in runs(texts_of(batch.column("text"))):
                 for found in shingle_sets(run, k):
                     name = _class_of(found) if len(found) else None
                     n.append(len(found))
@@ -148,7 +148,7 @@ def _prefixes(k: int, num: int, den: int, shared) -> Callable:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (rank, _), seen = shared.value, set()
         for batch in batches:
-            for run in runs(batch.column("text").to_pylist()):
+            for run in runs(texts_of(batch.column("text"))):
                 grams, classes, sizes = [], [], []
                 for found in shingle_sets(run, k):
                     name = _class_of(found) if len(found) else None
@@ -291,7 +291,7 @@ def _segments(k: int, shared) -> Callable:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, cuts = shared.value
         for batch in batches:
-            for run in runs(batch.column("text").to_pylist()):
+            for run in runs(texts_of(batch.column("text"))):
                 out = []
                 for found in shingle_sets(run, k):
                     name, grams = _class_of(found), _ordered(found, rank)

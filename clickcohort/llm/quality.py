@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickcohort.llm.common import small, stored
-from clickcohort.llm.shingles import runs, word_hashes
+from clickcohort.llm.shingles import runs, texts_of, word_hashes
 
 UNIT = 1024
+_ROWS = 256
 POOLED, ROUND = 0.3, 0.05
 
 _KIND = np.zeros((5, 256), dtype=bool)  # letters, capitals, digits, sentence marks, symbols
@@ -105,7 +106,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [statistics(run) for run in runs(batch.column("text").to_pylist())]
+        found = [statistics(run) for run in runs(texts_of(batch.column("text")))]
         if not found:
             continue
         flat = np.concatenate(found).ravel()
@@ -218,11 +219,14 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _keeper(model: Model | None, names: list[str]):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(names.index("text")).to_pylist()
-            good = [s >= 0.5 for run in runs(texts)
-                    for s in (np.full(len(run), 0.5) if model is None
-                              else model.score(statistics(run)))]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            # A few rows at a time, so that a worker holds little besides the batch itself.
+            for at in range(0, len(batch), _ROWS):
+                part = batch.slice(at, _ROWS)
+                texts = part.column(names.index("text")).to_pylist()
+                good = [s >= 0.5 for run in runs(texts)
+                        for s in (np.full(len(run), 0.5) if model is None
+                                  else model.score(statistics(run)))]
+                yield part.filter(pa.array(good, pa.bool_()))
     return keep
 
 

@@ -7,9 +7,10 @@ sequence as the one shingle; a text without words, or null, has the empty set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -82,7 +83,7 @@ def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
             yield hashes[:0]
 
 
-def runs(texts: list[str | None], limit: int = 2 << 20) -> Iterator[list[bytes]]:
+def runs(texts: Iterable[str | None], limit: int = 1 << 20) -> Iterator[list[bytes]]:
     """Encoded texts in runs of about `limit` bytes."""
     run, size = [], 0
     for text in texts:
@@ -94,3 +95,9 @@ def runs(texts: list[str | None], limit: int = 2 << 20) -> Iterator[list[bytes]]
         size += len(raw)
     if run:
         yield run
+
+
+def texts_of(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """Values of an Arrow column, few at a time as Python strings."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
