@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort import adapters
@@ -394,6 +395,21 @@ def ewma_history(spark, sf_dir):
     return comparable(out.select(KEY, *[c for c in out.columns if c.startswith("ewma_")]))
 
 
+@query
+def ewma_last_day(spark, sf_dir):
+    """The averages as the daily run adds them: one day against the stored days before it."""
+    events = click_events(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    features = tallies(events, ["time", "hygiene"]).join(
+        frequency.leading_values(events), KEY).join(
+        frequency.frequency_features(events, ["signature"]), KEY).checkpoint()
+    last = features.agg(F.max("date")).first()[0]
+    past = features.where((F.col("date") < F.lit(last)) & (
+        F.datediff(F.lit(last).cast("date"), F.col("date").cast("date")) <= Params().lookback_days))
+    out = history.add_ewma(features.where(F.col("date") == F.lit(last)), past)
+    return comparable(out.select(KEY, *[c for c in out.columns if c.startswith("ewma_")]))
+
+
 @query
 def ewma_nation_daily(spark, sf_dir):
     daily = (
@@ -431,16 +447,51 @@ def latest_day(spark, sf_dir):
 
 # -- scores and reports ----------------------------------------------------------------
 
+#: A small forest of set splits (tree, node, feature, threshold, left, right, path length), which
+#: the SQL equivalents spell out as CASE. Grown forests split at random.
+SET_FEATURES = ["hourly_entropy", "n_events", "night_share", "top_signature_share"]
+SET_ROWS = 16
+SET_NODES = [
+    (0, 0, 1, 10.5, 1, 2, 0.0), (0, 1, 2, 0.4505, 3, 4, 0.0), (0, 2, 0, 3.2005, 5, 6, 0.0),
+    (0, 3, -1, 0.0, -1, -1, 5.5), (0, 4, -1, 0.0, -1, -1, 3.5), (0, 5, -1, 0.0, -1, -1, 4.0),
+    (0, 6, -1, 0.0, -1, -1, 6.0),
+    (1, 0, 2, 0.2105, 1, 2, 0.0), (1, 1, -1, 0.0, -1, -1, 2.5), (1, 2, 3, 0.1505, 3, 4, 0.0),
+    (1, 3, -1, 0.0, -1, -1, 6.5), (1, 4, -1, 0.0, -1, -1, 4.5),
+    (2, 0, 0, 2.4505, 1, 2, 0.0), (2, 1, -1, 0.0, -1, -1, 3.0), (2, 2, 1, 6.5, 3, 4, 0.0),
+    (2, 3, -1, 0.0, -1, -1, 4.75), (2, 4, -1, 0.0, -1, -1, 5.25),
+]
+
+
+def set_forest() -> iforest.Forest:
+    names = [f.split()[0] for f in iforest.NODE_SCHEMA.split(", ")]
+    return iforest.Forest(pd.DataFrame(SET_NODES, columns=names), SET_FEATURES, SET_ROWS)
+
+
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features written once: scores and reports read them several times."""
+    ensure_checkpoint_dir(spark)
+    return cohort_features(click_events(spark, sf_dir)).checkpoint()
+
+
 def scored_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All features with rule scores; the hourly Gini stands in for the forest, whose
-    random numbers no other engine shares."""
-    features = cohort_features(click_events(spark, sf_dir))
-    scored = scoring.add_scores(features, F.col("hourly_gini"), Params(
-        thresholds={"high": 0.62, "medium": 0.58, "low": 0.25}))
+    """All features, rule scores, scores of the set forest, blend and bands."""
+    features = stored_features(spark, sf_dir)
+    scored = scoring.add_scores(features, iforest.iso_scores(features, set_forest()), Params(
+        thresholds={"high": 0.6, "medium": 0.4, "low": 0.25}))
     # Equal scores must rank as equal whatever the order of their additions.
     return scored.withColumn("botness", F.round("botness", 9))
 
 
+@query
+def forest_extract(spark, sf_dir):
+    """Features, rules, a grown forest, blend and bands by default parameters; no oracle, since
+    the random splits are this library's own."""
+    features = stored_features(spark, sf_dir)
+    forest = iforest.fit_forest(features)
+    return comparable(reports.cohort_extract(
+        scoring.add_scores(features, iforest.iso_scores(features, forest))))
+
+
 @query
 def rule_score(spark, sf_dir):
     return comparable(scored_cohorts(spark, sf_dir).select(KEY, "rule_score"))
@@ -500,8 +551,7 @@ def dq_scoring(spark, sf_dir):
 @query
 def iforest_score(spark, sf_dir):
     """Forest scores; no oracle, since the random splits are this library's own."""
-    ensure_checkpoint_dir(spark)
-    features = cohort_features(click_events(spark, sf_dir)).checkpoint()
+    features = stored_features(spark, sf_dir)
     return comparable(iforest.iso_scores(features, iforest.fit_forest(features)))
 
 

@@ -575,24 +575,31 @@ def _ewma(value: str, alpha: float) -> str:
     return f"sum({value} * {weight}) / sum({weight})"
 
 
-ORACLES["ewma_history"] = f"""WITH {ev()}, {CTES['basics']}, {CTES['shape']}, {CTES['signatures']},
+
+def _ewma_by_day(names: list[str], condition: str) -> str:
+    return f"""WITH {ev()}, {CTES['basics']}, {CTES['shape']}, {CTES['signatures']},
 {CTES['identity']},
 today AS (
   SELECT cohort_key, CAST(date AS DATE) AS day, ip || '|' || user_agent AS who,
-    {', '.join(_EWMA)}
+    {', '.join(names)}
   FROM basics JOIN shape USING (cohort_key) JOIN signatures USING (cohort_key)
   JOIN identity USING (cohort_key)),
 past AS (
-  SELECT t.cohort_key, {', '.join(f'h.{f}' for f in _EWMA)},
+  SELECT t.cohort_key, {', '.join(f'h.{f}' for f in names)},
     row_number() OVER (PARTITION BY t.cohort_key ORDER BY h.day DESC) AS rn
   FROM today t JOIN today h ON h.who = t.who AND h.day < t.day AND h.day >= t.day - 30),
 averaged AS (
   SELECT cohort_key, {', '.join(f'{_ewma(f, 0.3)} AS s_{f}, {_ewma(f, 0.1)} AS l_{f}'
-                               for f in _EWMA)}
+                               for f in names)}
   FROM past GROUP BY 1)
 SELECT cohort_key, {', '.join(r6(f'coalesce(s_{f}, {f})', f'ewma_{f}_7d') + ', '
-                             + r6(f'coalesce(l_{f}, {f})', f'ewma_{f}_30d') for f in _EWMA)}
-FROM today LEFT JOIN averaged USING (cohort_key)"""
+                             + r6(f'coalesce(l_{f}, {f})', f'ewma_{f}_30d') for f in names)}
+FROM today LEFT JOIN averaged USING (cohort_key) {condition}"""
+
+
+ORACLES["ewma_history"] = _ewma_by_day(_EWMA, "")
+ORACLES["ewma_last_day"] = _ewma_by_day(
+    _EWMA + ["repeat_ratio", "referrer_rate"], "WHERE day = (SELECT max(day) FROM today)")
 
 ORACLES["ewma_nation_daily"] = f"""
 WITH daily AS (
@@ -644,10 +651,19 @@ ruled AS (
     + {_W['ua_full_ip_diversity']} * ua_full_ip_diversity_ratio
     + {_W['protocol']} * greatest(http11_share, CASE WHEN http2_share > 0.95 THEN 1 ELSE 0 END)
     + {_W['volume']} * least(ln(1 + n_events) / 10, 1))) AS rule_score,
-    hourly_gini AS iso_score
+    -pow(2, -(
+      CASE WHEN n_events <= 10.5 THEN CASE WHEN night_share <= 0.4505 THEN 5.5 ELSE 3.5 END
+           ELSE CASE WHEN hourly_entropy <= 3.2005 THEN 4.0 ELSE 6.0 END END
+      + CASE WHEN night_share <= 0.2105 THEN 2.5
+             WHEN top_signature_share <= 0.1505 THEN 6.5 ELSE 4.5 END
+      + CASE WHEN hourly_entropy <= 2.4505 THEN 3.0
+             WHEN n_events <= 6.5 THEN 4.75 ELSE 5.25 END)::DOUBLE
+      / (3 * (2 * (ln(15) + 0.5772156649015329) - 1.875))) AS raw_iso
   FROM features),
-blended AS (SELECT *, round(0.5 * rule_score + 0.5 * iso_score, 9) AS botness FROM ruled),
-scored AS (SELECT *, CASE WHEN botness >= 0.62 THEN 'High' WHEN botness >= 0.58 THEN 'Medium'
+scaled AS (SELECT *, (raw_iso - min(raw_iso) OVER ()) / (max(raw_iso) OVER () - min(raw_iso) OVER ())
+    AS iso_score FROM ruled),
+blended AS (SELECT *, round(0.5 * rule_score + 0.5 * iso_score, 9) AS botness FROM scaled),
+scored AS (SELECT *, CASE WHEN botness >= 0.6 THEN 'High' WHEN botness >= 0.4 THEN 'Medium'
              ELSE 'Low' END AS risk_band FROM blended),
 bands AS (SELECT unnest(['High', 'Medium', 'Low']) AS risk_band),
 per_band AS (SELECT b.risk_band, count(s.cohort_key) AS cohorts

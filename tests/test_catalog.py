@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables not mounted")
 
-WITHOUT_SQL = {"iforest_score", "evidence_samples", "report_document"}
+WITHOUT_SQL = {"iforest_score", "forest_extract", "evidence_samples", "report_document"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql_but_three():
+def test_every_query_has_sql_but_these():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(ORACLES) <= set(QUERIES)
 
@@ -35,6 +35,16 @@ def test_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
+def test_grown_forest_takes_part_in_bands(spark):
+    rows = QUERIES["forest_extract"](spark, SF_DIR).collect()
+    iso = {r["iso_score"] for r in rows}
+    assert min(iso) == 0 and max(iso) == 1 and len(iso) > 2
+    for r in rows:
+        assert abs(r["botness"] - (r["rule_score"] + r["iso_score"]) / 2) < 2e-6
+        assert r["risk_band"] == ("High" if r["botness"] >= 0.75 else
+                                  "Medium" if r["botness"] >= 0.55 else "Low")
+
+
 def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() > 0
