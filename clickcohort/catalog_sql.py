@@ -7,12 +7,14 @@ plain ``count(DISTINCT ...)``, row windows and self joins instead of counted val
 from __future__ import annotations
 
 from clickcohort.adapters import AGENTS
-from clickcohort.catalog import JOB_DATE, STATS_COLUMNS
-from clickcohort.functions.distribution import HOUR_COLUMNS
-from clickcohort.params import DEFAULT_NIGHT_HOURS, DEFAULT_WEIGHTS
 
 ORACLES: dict[str, str] = {}
 
+# Fixed values, written out here so that a wrong constant in the package shows.
+JOB_DATE = "2024-01-31"
+STATS_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+HOUR_COLUMNS = tuple(f"hourly_hist_{h:02d}" for h in range(24))
+
 
 def r6(expr: str, name: str | None = None) -> str:
     """Rounded like the catalog rounds, with the same nudge."""
@@ -181,7 +183,7 @@ SELECT count(*) AS rows, count(DISTINCT cohort_key) AS unique_cohorts,
 
 # -- cohort features: one CTE per block, named like the block ----------------------
 
-NIGHT = ", ".join(str(h) for h in DEFAULT_NIGHT_HOURS)
+NIGHT = "22, 23, 0, 1, 2, 3, 4, 5, 6"
 
 CTES = {
     "hours": "hours AS (SELECT cohort_key, " + ", ".join(
@@ -639,18 +641,17 @@ SELECT row_id, date FROM ev WHERE date = (SELECT max(date) FROM ev)"""
 
 # -- scores and reports ----------------------------------------------------------------
 
-_W = DEFAULT_WEIGHTS
 SCORED = f"""{FEATURE_CTES},
 ruled AS (
   SELECT *, greatest(0.0, least(1.0,
-    {_W['cadence']} * (night_share + 1 - hourly_entropy / 4) / 2
-    + {_W['repetition']} * (top_signature_share + repeat_ratio) / 2
-    + {_W['speed']} * ((1 - least(gap_p50 / 60, 1)) + least(coalesce(max_run_lt_1s, 0) / 10.0, 1)) / 2
-    + {_W['hygiene']} * ((1 - cookie_rate) + (1 - referrer_rate)) / 2
-    + {_W['ua_full_concentration']} * ua_full_mode_share
-    + {_W['ua_full_ip_diversity']} * ua_full_ip_diversity_ratio
-    + {_W['protocol']} * greatest(http11_share, CASE WHEN http2_share > 0.95 THEN 1 ELSE 0 END)
-    + {_W['volume']} * least(ln(1 + n_events) / 10, 1))) AS rule_score,
+    0.2 * (night_share + 1 - hourly_entropy / 4) / 2
+    + 0.3 * (top_signature_share + repeat_ratio) / 2
+    + 0.2 * ((1 - least(gap_p50 / 60, 1)) + least(coalesce(max_run_lt_1s, 0) / 10.0, 1)) / 2
+    + 0.15 * ((1 - cookie_rate) + (1 - referrer_rate)) / 2
+    + 0.1 * ua_full_mode_share
+    + 0.1 * ua_full_ip_diversity_ratio
+    + 0.1 * greatest(http11_share, CASE WHEN http2_share > 0.95 THEN 1 ELSE 0 END)
+    + 0.05 * least(ln(1 + n_events) / 10, 1))) AS rule_score,
     -pow(2, -(
       CASE WHEN n_events <= 10.5 THEN CASE WHEN night_share <= 0.4505 THEN 5.5 ELSE 3.5 END
            ELSE CASE WHEN hourly_entropy <= 3.2005 THEN 4.0 ELSE 6.0 END END
