@@ -528,6 +528,11 @@ def top_high_cohorts(spark, sf_dir):
     return comparable(reports.display_table(scored_cohorts(spark, sf_dir), "High"))
 
 
+@query
+def top_medium_cohorts(spark, sf_dir):
+    return comparable(reports.display_table(scored_cohorts(spark, sf_dir), "Medium"))
+
+
 @query
 def cohort_extract(spark, sf_dir):
     return comparable(reports.cohort_extract(scored_cohorts(spark, sf_dir)))

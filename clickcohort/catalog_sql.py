@@ -684,11 +684,12 @@ ORACLES["top_n_per_band"] = f"""WITH {SCORED}
 SELECT risk_band, CAST(rank AS INTEGER) AS rank, cohort_key, {r6('botness')}
 FROM (SELECT *, row_number() OVER (PARTITION BY risk_band ORDER BY botness DESC, cohort_key)
         AS rank FROM scored) WHERE rank <= 20"""
-ORACLES["top_high_cohorts"] = f"""WITH {SCORED}
+for _band in ("High", "Medium"):
+    ORACLES[f"top_{_band.lower()}_cohorts"] = f"""WITH {SCORED}
 SELECT site, partner, ip, round_even(botness, 3) + 0.0 AS botness, risk_band, n_events,
   round_even(night_share * 100, 1) + 0.0 AS night_share,
   round_even(top_signature_share * 100, 1) + 0.0 AS top_signature_share, ladder_sweep
-FROM scored WHERE risk_band = 'High' ORDER BY scored.botness DESC, cohort_key LIMIT 10"""
+FROM scored WHERE risk_band = '{_band}' ORDER BY scored.botness DESC, cohort_key LIMIT 10"""
 _EXTRACT_DOUBLES = {"ua_full_mode_share", "ua_full_ip_diversity_ratio", "rule_score", "iso_score",
                     "botness", "night_share", "top_signature_share", "repeat_ratio", "gap_p50",
                     "cookie_rate", "referrer_rate", "http11_share", "http2_share",
