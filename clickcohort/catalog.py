@@ -88,6 +88,14 @@ def ip_join_inner(spark, sf_dir):
         raw_bookings(spark, sf_dir), address_log(spark, sf_dir), "inner").select("row_id", "ip")
 
 
+@query
+def ip_join_grid(spark, sf_dir):
+    """Every click with two addresses goes over a grid of tasks."""
+    return ingest_ops.join_addresses(
+        raw_bookings(spark, sf_dir), address_log(spark, sf_dir), "left",
+        hot_click_rows=1).select("row_id", "ip")
+
+
 @query
 def ip_match_rate(spark, sf_dir):
     raw = raw_bookings(spark, sf_dir)
@@ -173,6 +181,21 @@ def gap_stats(spark, sf_dir):
                       .select(KEY, "gap_p50", "gap_p95", "gap_p95_over_p50", "share_lt_2s"))
 
 
+@query
+def gap_stats_in_pieces(spark, sf_dir):
+    """Cohorts of more than 30 events are cut into pieces."""
+    return comparable(sequence.sequence_features(
+        few_cohorts(spark, sf_dir), Params(hot_cohort_rows=30))
+        .select(KEY, "gap_p50", "gap_p95", "gap_p95_over_p50", "share_lt_2s"))
+
+
+@query
+def runs_in_pieces(spark, sf_dir):
+    return sequence.sequence_features(
+        few_cohorts(spark, sf_dir), Params(hot_cohort_rows=30)).select(
+        KEY, "max_run_lt_1s", "error_bursts")
+
+
 @query
 def max_run_lt(spark, sf_dir):
     return sequence.sequence_features(few_cohorts(spark, sf_dir)).select(KEY, "max_run_lt_1s")
@@ -282,6 +305,12 @@ def all_cohort_features(spark, sf_dir):
     return comparable(cohort_features(click_events(spark, sf_dir)))
 
 
+@query
+def features_of_large_cohorts(spark, sf_dir):
+    """The same in the layout for cohorts too large for a task."""
+    return comparable(cohort_features(click_events(spark, sf_dir), Params(hot_cohort_rows=20)))
+
+
 # -- ad-hoc analysis ---------------------------------------------------------------
 
 @query

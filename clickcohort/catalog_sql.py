@@ -144,6 +144,7 @@ SELECT row_id, ip, partner, adults::DOUBLE AS num_adults, coalesce(infants, 0)::
 FROM inner_joined"""
 
 ORACLES["ip_join_left"] = f"WITH {RAW} SELECT row_id, ip FROM left_joined"
+ORACLES["ip_join_grid"] = ORACLES["ip_join_left"]
 ORACLES["ip_join_inner"] = f"WITH {RAW} SELECT row_id, ip FROM inner_joined"
 ORACLES["ip_match_rate"] = f"""WITH {RAW}
 SELECT (SELECT count(*) FROM raw) AS input_rows, (SELECT count(*) FROM inner_joined) AS
@@ -379,9 +380,11 @@ ORACLES["schedule_regularity"] = block(
     rounded=("schedule_regularity_strength",))
 _GAPS = ("gap_p50", "gap_p95", "gap_p95_over_p50", "share_lt_2s")
 ORACLES["gap_stats"] = block("gaps", list(_GAPS), rounded=_GAPS)
+ORACLES["gap_stats_in_pieces"] = block("gaps", list(_GAPS), FEW, _GAPS)
 ORACLES["max_run_lt"] = block("gaps", ["max_run_lt_1s"], FEW)
 ORACLES["error_bursts"] = block("bursts", ["error_bursts"], FEW)
 LADDER_COLUMNS = ["ladder_sweep_count > 0 AS ladder_sweep", "ladder_sweep_count"]
+ORACLES["runs_in_pieces"] = block(["gaps", "bursts"], ["max_run_lt_1s", "error_bursts"], FEW)
 ORACLES["ladder_sweep"] = block("ladder", LADDER_COLUMNS)
 ORACLES["ladder_sweep_distinct"] = (
     f"WITH {ev()}, {ladder_ctes('ev', 'cohort_key', 'dep_date', distinct=True)} "
@@ -460,6 +463,8 @@ def _names(columns: list[str]) -> list[str]:
 ORACLES["all_cohort_features"] = f"WITH {FEATURE_CTES} SELECT cohort_key, " + ", ".join(
     r6(c) if c in _DOUBLES else c for c in _names(_FEATURES)) + " FROM features"
 
+ORACLES["features_of_large_cohorts"] = ORACLES["all_cohort_features"]
+
 # -- ad-hoc analysis ---------------------------------------------------------------
 
 AUDIT = """audit AS (

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickcohort.functions import cleaning
 from clickcohort.functions.signature import payload_signature
+from clickcohort.operators.layout import BROADCAST_KEYS
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
+from clickcohort.session import ensure_checkpoint_dir
 
 # Export header -> event column.
 RENAMES = {
@@ -61,8 +63,7 @@ TEXT_COLUMNS = (
 
 PASSENGERS = ("num_adults", "num_children", "num_infants")
 KEY_PARTS = ("date", "site", "partner", "ip", "user_agent")
-_NULL_SALTS = 4096
-_GRID = 16
+_SHARES = 16  # a side of a grid cell holds at most this share of ``hot_click_rows``
 
 
 def rename_columns(frame: DataFrame) -> DataFrame:
@@ -83,8 +84,8 @@ def join_addresses(frame: DataFrame, addresses: DataFrame, how: str = "left",
     ``left`` keeps unmatched rows as 'unknown', ``inner`` drops them. A null id
     matches nothing. Clicks listed twice multiply events unless ``dedupe_clicks``.
 
-    Rows without an id could all land in one task; a second join key, which is
-    never 0 for them and always 0 on the other side, spreads them. An id frequent
+    Rows without an id could all land in one task; a second join key, a hash of
+    the row for them and 0 for all others, spreads them. An id frequent
     among the events is split by adaptive execution; one with more than
     ``hot_click_rows`` addresses (a placeholder, say) is joined on a grid of tasks.
     """
@@ -96,40 +97,58 @@ def join_addresses(frame: DataFrame, addresses: DataFrame, how: str = "left",
         known = known.groupBy("click").agg(F.min("addr").alias("addr"))
     events = with_row_id(frame.withColumn("click_id", F.col("click_id").cast("string")))
     events = events.drop("ip")
-    hot = None if dedupe_clicks else (
-        known.groupBy("click").agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > hot_click_rows).select("click"))
-    if hot is None or hot.isEmpty():
+    grids = None if dedupe_clicks else _grids(events, known, hot_click_rows)
+    if grids is None:
         return _join_by_click(events, known, how)
-    # At most rows / hot_click_rows ids.
-    is_hot = F.broadcast(hot)
-    by_id = [F.col("click_id") == F.col("click")]
-    ordinary = _join_by_click(events.join(is_hot, by_id, "left_anti"),
-                              known.join(is_hot, "click", "left_anti"), how)
+    in_events = [F.col("click_id") == F.col("_id")]
+    in_known = [F.col("click") == F.col("_id")]
+    ordinary = _join_by_click(events.join(grids, in_events, "left_anti"),
+                              known.join(grids, in_known, "left_anti"), how)
     return ordinary.unionByName(_join_on_grid(
-        events.join(is_hot, by_id, "left_semi"), known.join(is_hot, "click", "left_semi"), how))
+        events.join(grids, in_events), known.join(grids, in_known), events.columns, how))
 
 
-def _join_on_grid(events: DataFrame, known: DataFrame, how: str) -> DataFrame:
-    """Inner join of ids that all have a match: each id is spread over a square of
-    tasks, a row of the square per share of its events, a column per share of its
-    addresses."""
-    side = F.sequence(F.lit(0), F.lit(_GRID - 1))
+def _grids(events: DataFrame, known: DataFrame, limit: int) -> DataFrame | None:
+    """(_id, _rows, _columns) of ids with more than ``limit`` addresses; None without any.
 
-    def share(*columns: str) -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(_GRID)).cast("int")
-
-    left = events.withColumns({"_row": share("row_id"), "_column": F.explode(side)})
+    The size of an id's grid follows its own numbers of events and addresses.
+    """
+    sizes = known.groupBy("click").agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    found = sizes.count()
+    if not found:
+        return None
+    ensure_checkpoint_dir(events.sparkSession)
+    seen = events.groupBy("click_id").agg(F.count("*").alias("_m"))
+    cell = max(1, limit // _SHARES)
+    grids = sizes.join(seen, F.col("click") == F.col("click_id"), "left").select(
+        F.col("click").alias("_id"),
+        F.ceil(F.coalesce("_m", F.lit(1)) / cell).cast("int").alias("_rows"),
+        F.ceil(F.col("_n") / cell).cast("int").alias("_columns")).checkpoint()
+    return F.broadcast(grids) if found <= BROADCAST_KEYS else grids
+
+
+def _join_on_grid(events: DataFrame, known: DataFrame, columns: list[str],
+                  how: str) -> DataFrame:
+    """Inner join of ids that all have a match: each id is spread over a grid of tasks, a
+    row of the grid per share of its events, a column per share of its addresses."""
+    def share(column: str, width: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.col(width)).cast("int")
+
+    def every(width: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(width) - 1))
+
+    left = events.withColumns({"_row": share("row_id", "_rows"), "_column": every("_columns")})
     # Equal addresses of an id are split by counting them first.
-    right = known.groupBy("click", "addr").agg(F.count("*").alias("_times")).withColumns(
-        {"_column": share("addr"), "_row": F.explode(side)})
+    right = known.groupBy("click", "addr", "_rows", "_columns").agg(
+        F.count("*").alias("_times")).withColumns(
+        {"_column": share("addr", "_columns"), "_row": every("_rows")})
     joined = left.join(right, (F.col("click_id") == F.col("click"))
                        & (left["_row"] == right["_row"])
                        & (left["_column"] == right["_column"]), "inner")
     repeated = joined.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
     ip = F.coalesce("addr", F.lit("unknown")) if how == "left" else F.col("addr")
-    return repeated.withColumn("ip", ip).select(*events.columns, "ip")
+    return repeated.withColumn("ip", ip).select(*columns, "ip")
 
 
 def _join_by_click(events: DataFrame, known: DataFrame, how: str) -> DataFrame:
@@ -137,10 +156,9 @@ def _join_by_click(events: DataFrame, known: DataFrame, how: str) -> DataFrame:
         joined = events.where(F.col("click_id").isNotNull()).join(
             known, F.col("click_id") == F.col("click"), "inner")
         return joined.withColumn("ip", F.col("addr")).drop("click", "addr")
-    salt = F.when(F.col("click_id").isNotNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("row_id"), F.lit(_NULL_SALTS)).cast("int") + 1)
+    salt = F.when(F.col("click_id").isNotNull(), F.lit(0)).otherwise(F.xxhash64("row_id"))
     joined = events.withColumn("_salt", salt).join(
-        known.withColumn("_zero", F.lit(0)),
+        known.withColumn("_zero", F.lit(0).cast("long")),
         (F.col("click_id") == F.col("click")) & (F.col("_salt") == F.col("_zero")), "left")
     return joined.withColumn("ip", F.coalesce("addr", F.lit("unknown"))).drop(
         "click", "addr", "_salt", "_zero")

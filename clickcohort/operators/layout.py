@@ -14,29 +14,37 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from clickcohort.operators.tallies import KEY
+from clickcohort.session import ensure_checkpoint_dir
+
+BROADCAST_KEYS = 100_000
 
 Compute = Callable[[DataFrame], DataFrame]
 
 
 class HotCohorts(NamedTuple):
-    keys: DataFrame   # at most (all rows / limit) keys, so they can be broadcast
+    keys: DataFrame   # checkpointed
+    found: int        # number of keys
     rows: int         # rows of all hot cohorts together
 
 
 def find_hot(events: DataFrame, limit: int, key: str = KEY) -> HotCohorts | None:
     """Cohorts with more than ``limit`` rows; None if there are none.
 
-    One pass over the key column; two numbers reach the driver.
+    One pass over the key column, a second where there are any, so that later uses read
+    the written keys; two numbers reach the driver.
     """
     sizes = (events.groupBy(key).agg(F.count("*").alias("size"))
              .where(F.col("size") > limit))
     found, rows = sizes.agg(F.count("*"), F.sum("size")).first()
-    return HotCohorts(sizes.select(key), rows) if found else None
+    if not found:
+        return None
+    ensure_checkpoint_dir(events.sparkSession)
+    return HotCohorts(sizes.select(key).checkpoint(), found, rows)
 
 
 def split_hot(events: DataFrame, hot: HotCohorts, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(ordinary rows, hot rows); rows without a key are ordinary."""
-    keys = F.broadcast(hot.keys)
+    keys = F.broadcast(hot.keys) if hot.found <= BROADCAST_KEYS else hot.keys
     return events.join(keys, key, "left_anti"), events.join(keys, key, "left_semi")
 
 

@@ -4,8 +4,8 @@ Each pass counts values in equal-width bins of the open brackets and keeps, per
 wanted rank, the one bin that holds it, with that bin's true minimum and maximum as
 the next bracket. A bracket whose ends are equal is the answer. Infinite values are counted
 at both ends and set aside, so every bracket is finite and shrinks. The data is only
-scanned and combined map-side; per pass the driver sees at most
-(open brackets x BINS) counts, however many rows there are.
+scanned and combined map-side, and the bins are picked in Spark: per pass the driver sees
+one row for each wanted rank.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BINS = 4096
 
@@ -58,14 +58,12 @@ def exact_quantiles(frame: DataFrame, columns: Sequence[str],
         spans = sorted({(i, low, high) for (i, _), (low, high, _) in bracket.items() if low < high})
         if not spans:
             break
-        counts = _histograms(values, spans)
-        for (i, rank), (low, high, below) in list(bracket.items()):
-            if low < high:
-                for n, lo, hi in counts[(i, low, high)]:
-                    if rank < below + n:
-                        bracket[(i, rank)] = (lo, hi, below)
-                        break
-                    below += n
+        open_ranks = [(spans.index((i, low, high)), rank - below, (i, rank))
+                      for (i, rank), (low, high, below) in bracket.items() if low < high]
+        bins = _bins_of(values, spans, [(s, r) for s, r, _ in open_ranks])
+        for s, r, place in open_ranks:
+            before, low, high = bins[s, r]
+            bracket[place] = (low, high, bracket[place][2] + before)
     out: dict[str, list[float] | None] = {}
     for i, name in enumerate(columns):
         n = sizes[i]
@@ -89,7 +87,12 @@ def _between(low: float, high: float, part: float) -> float:
     return low + (high - low) * part
 
 
-def _histograms(values: DataFrame, spans: list[tuple[int, float, float]]):
+def _bins_of(values: DataFrame, spans: list[tuple[int, float, float]],
+             ranks: list[tuple[int, int]]) -> dict[tuple[int, int], tuple[int, float, float]]:
+    """(span, rank inside it) -> (values of the span before the rank's bin, the bin's ends).
+
+    Bins are counted and picked in Spark; one row for each rank reaches the driver.
+    """
     def cell(span_id: int, i: int, low: float, high: float) -> Column:
         v = F.col(f"c{i}")
         # Halved only where the width itself would overflow.
@@ -100,13 +103,18 @@ def _histograms(values: DataFrame, spans: list[tuple[int, float, float]]):
             F.lit(span_id).alias("span"), bin_no.alias("bin"), v.alias("v")))
 
     cells = F.array(*[cell(s, i, low, high) for s, (i, low, high) in enumerate(spans)])
-    rows = (
+    counts = (
         values.select(F.explode(cells).alias("_c")).where(F.col("_c").isNotNull())
         .groupBy("_c.span", "_c.bin")
         .agg(F.count("*").alias("n"), F.min("_c.v").alias("lo"), F.max("_c.v").alias("hi"))
-        .collect()
     )
-    found: dict = {span: [] for span in spans}
-    for row in sorted(rows, key=lambda r: (r["span"], r["bin"])):
-        found[spans[row["span"]]].append((row["n"], row["lo"], row["hi"]))
-    return found
+    # A span has at most BINS rows here.
+    order = Window.partitionBy("span").orderBy("bin")
+    placed = counts.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    wanted = F.broadcast(values.sparkSession.createDataFrame(ranks, "span int, rank long"))
+    rows = (
+        placed.join(wanted, "span")
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+        .select("span", "rank", "before", "lo", "hi").collect()
+    )
+    return {(r["span"], r["rank"]): (r["before"], r["lo"], r["hi"]) for r in rows}
