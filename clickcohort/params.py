@@ -42,9 +42,9 @@ class Params:
     thresholds: dict[str, float] = field(default_factory=lambda: dict(DEFAULT_THRESHOLDS))
     # isolation forest
     n_trees: int = 300
-    # Rows per tree (a whole number, here that of the published method) or a share of all
+    # Rows per tree (a whole number; 256 is that of the published method) or a share of all
     # cohorts (a fraction); see operators/iforest.py.
-    max_samples: int | float = 256
+    max_samples: int | float = 0.8
     seed: int = 42
     # history
     ewma_alpha_7d: float = 0.3

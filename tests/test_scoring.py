@@ -205,6 +205,13 @@ def test_trees_see_what_the_parameter_says(spark, n):
     assert iforest.fit_forest(frame, params=Params(n_trees=3, max_samples=64)).samples == 64
 
 
+def test_default_trees_see_four_fifths_of_the_cohorts(spark):
+    frame = cloud(spark, 1000)
+    forest = iforest.fit_forest(frame, params=Params(n_trees=3))
+    assert Params().max_samples == 0.8
+    assert forest.samples == 800
+
+
 def test_forest_degenerate_inputs(spark):
     frame = cloud(spark)
     assert iforest.fit_forest(frame.where(F.lit(False))) is None
