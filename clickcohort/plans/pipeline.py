@@ -26,7 +26,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def ingest_file(spark: SparkSession, csv: str, date: str, root: str, ip_csv: str | None = None,
                 dimension: DataFrame | None = None, params: Params = Params(),
-                multi_line: bool = False) -> DataFrame:
+                multi_line: bool = True) -> DataFrame:
     """One CSV, optionally with addresses; every row is kept."""
     raw = read_csv(spark, csv, multi_line)
     addresses = None
@@ -42,7 +42,7 @@ def ingest_file(spark: SparkSession, csv: str, date: str, root: str, ip_csv: str
 
 def ingest_folder(spark: SparkSession, folder: str, date: str, root: str,
                   dimension: DataFrame | None = None, params: Params = Params(),
-                  multi_line: bool = False) -> DataFrame:
+                  multi_line: bool = True) -> DataFrame:
     """All exports of a folder; only rows with a known address are kept."""
     bookings, addresses = read_exports(spark, folder, multi_line)
     events = ingest(bookings, date, addresses, dimension, "inner", params)
@@ -93,7 +93,7 @@ def load_model(spark: SparkSession, root: str, date: str) -> Forest:
 def run_day(spark: SparkSession, date: str, root: str, folder: str | None = None,
             csv: str | None = None, ip_csv: str | None = None,
             dimension: DataFrame | None = None, params: Params = Params(),
-            multi_line: bool = False) -> str:
+            multi_line: bool = True) -> str:
     """ingest, features, scores, reports; returns the report folder."""
     if (folder is None) == (csv is None):
         raise ValueError("give either a folder of exports or one csv")

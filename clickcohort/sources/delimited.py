@@ -46,7 +46,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
 
     Adds ``source_file``. Two equal headers come out as name plus position, as Spark
     names them. ``multi_line`` accepts line breaks inside quotes, at the price of
-    reading each file in one task.
+    reading each file in one task; the rows are then dealt to all tasks.
     """
     frame = (
         spark.read.option("header", True).option("inferSchema", False)
@@ -55,7 +55,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
     )
     names = frame.columns
     cells = [null_tokens_to_null(_raw(frame, name), null_tokens).alias(name) for name in names]
-    return frame.select(*cells, F.col("_metadata.file_path").alias("source_file"))
+    frame = frame.select(*cells, F.col("_metadata.file_path").alias("source_file"))
+    if multi_line:
+        frame = frame.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return frame
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:

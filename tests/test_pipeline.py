@@ -167,3 +167,18 @@ def test_cells_that_do_not_fit_their_type(spark, tmp_path, dimension):  # noqa:
     events = ingest_file(spark, str(tmp_path / "b.csv"), "2025-09-01", str(tmp_path / "lake"),
                          dimension=dimension).orderBy("timestamp").collect()
     assert len(events) == 2 and events[0]["user_agent_id"] is None
+
+
+def test_line_break_inside_quotes_is_one_record(spark, tmp_path, dimension):  # noqa: F811
+    broken = booking(1001, 2, "2025-09-01 10:00:01", partner='"two\nlines"')
+    write(tmp_path / "b.csv", BOOKING_HEADER, booking(1001, 1, "2025-09-01 10:00:00"), broken)
+    one = ingest_file(spark, str(tmp_path / "b.csv"), "2025-09-01", str(tmp_path / "lake"),
+                      dimension=dimension).orderBy("timestamp").collect()
+    assert len(one) == 2 and "two" in one[1]["partner"] and "lines" in one[1]["partner"]
+    folder = tmp_path / "exports"
+    folder.mkdir()
+    write(folder / "booking_1.csv", BOOKING_HEADER, broken)
+    write(folder / "On_demand_report_1.csv", "mdc\\.addr,mdc\\.click", "10.0.0.1,2")
+    root = str(tmp_path / "lake2")
+    run_day(spark, "2025-09-01", root, folder=str(folder), dimension=dimension, params=PARAMS)
+    assert read_day(spark, f"{root}/events", "2025-09-01").count() == 1
