@@ -7,10 +7,14 @@ position minus item position). Around each hit the words on the diagonal are com
 by one, so substituted words are tolerated and chance hits fall away.
 
 An item leaks into a document when, on one diagonal, `similarity` of all its words or of
-some `window` words in a row are equal. The three masks find nearly every such passage
-(all of 600 random ones, see the tests); an inserted or lost word only moves the rest to
-another diagonal. Words are runs without white space, lower-cased. Items shorter than the
-longest mask (8 words) cannot be told from common phrases and never leak.
+some `window` words in a row are equal. The four masks find nearly every such passage
+(all of 600 random ones and all of 8 to 13 words, see the tests); an inserted or lost word
+only moves the rest to another diagonal. Words are runs without white space, lower-cased.
+
+Items shorter than the longest mask (8 words) count with `short_items` only, as they cannot be
+told from common phrases. Their masks are all choices of as many words as have to be equal, so
+none is missed; only masks for lengths that occur are laid out. Of an item's places in a
+document only the best goes on, however common the item is.
 
 Null and empty texts hold no words and leak nothing. Items of equal words count as the one
 with the smallest item_id. Rows that repeat give one result row for each pair of doc_id and
@@ -22,13 +26,14 @@ of a text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickcohort.llm.common import small, stored, words
 
 #: Set positions of each mask; positions in between are ignored.
-MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 4, 5), (0, 3, 5, 6, 7))
+MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 4, 5), (0, 3, 5, 6, 7), (0, 1, 2, 3, 6))
 SPAN = 1 + max(mask[-1] for mask in MASKS)
 _PIECE = 1024
 
@@ -50,9 +55,15 @@ def pieces(items: Column, size: int, overlap: int) -> Column:
         F.slice(items, s + 1, F.lit(size + overlap)).alias("items")))
 
 
-def seeds(frame: DataFrame, key: str) -> DataFrame:
+def short_masks(length: int, similarity: float) -> set[tuple[int, ...]]:
+    """Every choice of as many of `length` words as have to be equal, moved to begin at 0."""
+    least = max(1, -(-length * round(similarity * 100) // 100))
+    return {tuple(k - kept[0] for k in kept) for kept in combinations(range(length), least)}
+
+
+def seeds(frame: DataFrame, key: str, masks: Sequence[tuple[int, ...]] = MASKS) -> DataFrame:
     """key, at (position) and seed of every position and mask of `frame`'s column tokens."""
-    hashed = frame.where(F.size("tokens") >= SPAN).select(
+    hashed = frame.where(F.size("tokens") > min(mask[-1] for mask in masks)).select(
         key, F.transform("tokens", lambda w: F.xxhash64(w)).alias("h"))
     cut = hashed.select(key, F.explode(pieces(F.col("h"), _PIECE, SPAN - 1)).alias("p")).select(
         key, (F.col("p.piece") * _PIECE).alias("base"), F.col("p.items").alias("h"))
@@ -64,45 +75,52 @@ def seeds(frame: DataFrame, key: str) -> DataFrame:
         *[F.col(f"w.w{k}").alias(f"w{k}") for k in range(SPAN)])
     each = F.array(*[
         F.when(F.col(f"w{mask[-1]}").isNotNull(),
-               F.xxhash64(F.lit(number), *[F.col(f"w{k}") for k in mask]))
-        for number, mask in enumerate(MASKS)])
+               F.xxhash64(F.lit(sum(2 ** k for k in mask)), *[F.col(f"w{k}") for k in mask]))
+        for mask in masks])
     return laid.select(key, "at", F.explode(each).alias("seed")).where("seed is not null")
 
 
-def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id and tokens, one row for all items of equal words."""
+def benchmark_items(benchmark: DataFrame, least: int = SPAN) -> DataFrame:
+    """item_id and tokens of items of at least `least` words, one row for all of equal words."""
     return (benchmark.select("item_id", tokens(F.col("text")).alias("tokens"))
             .groupBy("tokens").agg(F.min("item_id").alias("item_id"))
-            .where(F.size("tokens") >= SPAN))
+            .where(F.size("tokens") >= least))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13,
-             similarity: float = 0.8) -> DataFrame:
+             similarity: float = 0.8, short_items: bool = False) -> DataFrame:
     """doc_id, item_id, doc_start, n_words and matched of every leak, on its best diagonal."""
-    return _leaks(docs, benchmark, window, similarity).groupBy("doc_id", "item_id").agg(F.max_by(
+    return _leaks(docs, benchmark, window, similarity, short_items).groupBy("doc_id", "item_id").agg(F.max_by(
         F.struct("doc_start", "n_words", "matched"),
         F.struct("matched", -F.col("doc_start"))).alias("b")).select("doc_id", "item_id", "b.*")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13,
-                  similarity: float = 0.8) -> DataFrame:
+                  similarity: float = 0.8, short_items: bool = False) -> DataFrame:
     """The documents, all columns, that no benchmark item leaks into."""
-    leaked = stored(_leaks(docs, benchmark, window, similarity).select(
+    leaked = stored(_leaks(docs, benchmark, window, similarity, short_items).select(
         F.col("row_key").alias("_leaked")).distinct(), "leaked")
     return docs.join(small(leaked), row_key(docs["doc_id"], docs["text"]) == F.col("_leaked"),
                      "left_anti")
 
 
-def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, similarity: float) -> DataFrame:
-    items = benchmark_items(benchmark)
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, similarity: float,
+           short_items: bool) -> DataFrame:
+    items = benchmark_items(benchmark, 1 if short_items else SPAN)
     longest = items.agg(F.max(F.size("tokens"))).first()[0] or SPAN
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"),
                        tokens(F.col("text")).alias("tokens"))
-    there = seeds(items, "item_id").withColumnRenamed("at", "item_at")
-    here = seeds(rows.select("row_key", "tokens"), "row_key")
-    hits = stored(here.join(small(there), "seed")
-                  .select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
-                  .distinct(), "seed-hits")
+    found = _hits(rows, items.where(F.size("tokens") >= SPAN), MASKS).distinct()
+    lengths = sorted(r["n"] for r in items.select(F.size("tokens").alias("n"))
+                     .where(F.col("n") < SPAN).distinct().collect())
+    for n in lengths:
+        masks = sorted(short_masks(n, similarity))
+        places = _hits(rows, items.where(F.size("tokens") == n), masks).groupBy(
+            "row_key", "item_id", "diagonal").count()
+        # More equal words meet more masks; the first place of the most is the best.
+        found = found.unionByName(places.groupBy("row_key", "item_id").agg(
+            F.max_by("diagonal", F.struct("count", -F.col("diagonal"))).alias("diagonal")))
+    hits = stored(found, "seed-hits")
     hits = hits.withColumn("piece", (F.greatest("diagonal", F.lit(0)) / _PIECE).cast("int"))
 
     touched = rows.join(small(hits.select("row_key").distinct()), "row_key", "left_semi")
@@ -114,6 +132,14 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, window: int, similarity: float
     return _verified(lined, window, similarity)
 
 
+def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[tuple[int, ...]]) -> DataFrame:
+    """row_key, item_id and diagonal of every seed that both have."""
+    there = seeds(items, "item_id", masks).withColumnRenamed("at", "item_at")
+    here = seeds(rows.select("row_key", "tokens"), "row_key", masks)
+    return here.join(small(there), "seed").select(
+        "row_key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
+
+
 def _verified(lined: DataFrame, window: int, similarity: float) -> DataFrame:
     begin = F.greatest("diagonal", F.lit(0))
     skipped = F.greatest(-F.col("diagonal"), F.lit(0))

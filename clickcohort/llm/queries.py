@@ -85,7 +85,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"),
-                                  table(spark, sf_dir, "benchmark"))
+                                  table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 QUERIES: dict[str, Query] = {fn.__name__: fn for fn in (

@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
 import random
+from itertools import combinations
 
+import corpus_pipeline
 from clickcohort.llm import decontaminate
+from clickcohort.llm.queries import QUERIES
 from cases import documents, empty
 
 VOCABULARY = [f"w{i}" for i in range(3000)]
@@ -73,3 +76,56 @@ def test_odd_tables(spark):
     assert decontaminate.without_leaks(docs, none).columns == docs.columns
     assert decontaminate.overlaps(docs, none).count() == 0
     assert decontaminate.overlaps(empty(spark), benchmark).count() == 0
+
+
+def test_masks_find_every_change_of_short_passages():
+    for length in range(8, 14):
+        for bad in combinations(range(length), length // 5):
+            assert any(all(p + k not in bad for k in mask) for mask in decontaminate.MASKS
+                       for p in range(length - mask[-1])), (length, bad)
+
+
+def leaks_by_hand(items, rows):
+    """Every item laid on every diagonal of every document."""
+    out = set()
+    for d, text, _ in rows:
+        here = (text or "").lower().split()
+        for i, told in items:
+            there = told.lower().split()
+            for diagonal in range(-len(there), len(here)):
+                equal = sum(0 <= diagonal + k < len(here) and here[diagonal + k] == w
+                            for k, w in enumerate(there))
+                if equal * 100 >= len(there) * 80:
+                    out.add((d, i))
+    return out
+
+
+def test_short_items_by_hand(spark, tmp_path):
+    rng = random.Random(3)
+    items = [(n, " ".join(f"s{n}x{k}" for k in range(n))) for n in range(1, 11)]
+    rows = []
+    for d in range(120):
+        words = rng.choices(VOCABULARY, k=rng.choice([0, 1, 5, 40, 1030]))
+        own = rng.choice(items)[1].split()
+        for at in rng.sample(range(len(own)), min(len(own), rng.choice([0, 1, 1, 2]))):
+            own[at] = "changed"
+        at = rng.choice([0, len(words), rng.randint(0, len(words))])
+        words[at:at] = own[rng.choice([0, 0, 0, 1]):]
+        rows.append((d, " ".join(words), "a"))
+    rows += [(600 + n, f"before {text} after", "a") for n, text in items]
+    rows += [(500, "s1x0 " * 3000, "a"), (501, items[4][1].upper(), "a"), (502, None, "a")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents(spark, rows)
+    expected = leaks_by_hand(items, rows)
+    out = decontaminate.overlaps(docs, benchmark, short_items=True).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == expected
+    assert {i for _, i in expected} == set(range(1, 11))
+    clean = decontaminate.without_leaks(docs, benchmark, short_items=True)
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, _, _ in rows} - {d for d, _ in expected}
+    # The registered query and the stage take short items too.
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
+    asked = QUERIES["op10_decontaminate"](spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in asked} == expected
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in clean.collect()}
