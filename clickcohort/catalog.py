@@ -502,23 +502,31 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort_features(click_events(spark, sf_dir)).checkpoint()
 
 
+#: Under the default thresholds no cohort of the smallest tables is High.
+LOW_THRESHOLDS = Params(thresholds={"high": 0.6, "medium": 0.4, "low": 0.25})
+
+
 def scored_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features, rule scores, scores of the set forest, blend and bands."""
     features = stored_features(spark, sf_dir)
-    scored = scoring.add_scores(features, iforest.iso_scores(features, set_forest()), Params(
-        thresholds={"high": 0.6, "medium": 0.4, "low": 0.25}))
+    scored = scoring.add_scores(features, iforest.iso_scores(features, set_forest()),
+                                LOW_THRESHOLDS)
     # Equal scores must rank as equal whatever the order of their additions.
     return scored.withColumn("botness", F.round("botness", 9))
 
 
+def grown_scores(spark: SparkSession, sf_dir: str, params: Params = Params()) -> DataFrame:
+    """All features, rule scores, scores of a grown forest, blend and bands."""
+    features = stored_features(spark, sf_dir)
+    forest = iforest.fit_forest(features, params=params)
+    return scoring.add_scores(features, iforest.iso_scores(features, forest), params)
+
+
 @query
 def forest_extract(spark, sf_dir):
     """Features, rules, a grown forest, blend and bands by default parameters; no oracle, since
     the random splits are this library's own."""
-    features = stored_features(spark, sf_dir)
-    forest = iforest.fit_forest(features)
-    return comparable(reports.cohort_extract(
-        scoring.add_scores(features, iforest.iso_scores(features, forest))))
+    return comparable(reports.cohort_extract(grown_scores(spark, sf_dir)))
 
 
 @query
@@ -591,9 +599,10 @@ def iforest_score(spark, sf_dir):
 
 @query
 def evidence_samples(spark, sf_dir):
-    """Sampled raw rows of the top cohorts; no oracle, since the sample order is a hash."""
+    """Sampled raw rows of the top cohorts by the grown forest, High from 0.6; no oracle, since
+    the sample order is a hash."""
     samples = reports.evidence_samples(
-        scored_cohorts(spark, sf_dir), click_events(spark, sf_dir))
+        grown_scores(spark, sf_dir, LOW_THRESHOLDS), click_events(spark, sf_dir))
     return comparable(samples.select(
         KEY, "botness_score", "risk_band", F.to_json("sample_rows").alias("sample_rows")))
 
@@ -601,5 +610,5 @@ def evidence_samples(spark, sf_dir):
 @query
 def report_document(spark, sf_dir):
     """The JSON report without its time stamp; no oracle, since it is one nested row."""
-    document = reports.report_document(scored_cohorts(spark, sf_dir), JOB_DATE)
+    document = reports.report_document(grown_scores(spark, sf_dir), JOB_DATE)
     return document.select(*[F.to_json(c).alias(c) for c in document.columns if c != "metadata"])

@@ -1,5 +1,6 @@
 """Every catalog query against its SQL on the smallest driver tables."""
 
+import json
 from pathlib import Path
 
 import pytest
@@ -45,6 +46,19 @@ def test_grown_forest_takes_part_in_bands(spark):
                                   "Medium" if r["botness"] >= 0.55 else "Low")
 
 
+def test_reports_use_the_grown_forest(spark):
+    """Samples and report agree with the cohorts that forest_extract scores."""
+    scored = {r["cohort_key"]: r for r in QUERIES["forest_extract"](spark, SF_DIR).collect()}
+    samples = QUERIES["evidence_samples"](spark, SF_DIR).collect()
+    assert samples
+    for r in samples:
+        assert abs(r["botness_score"] - scored[r["cohort_key"]]["botness"]) < 2e-6
+    summary = json.loads(QUERIES["report_document"](spark, SF_DIR).first()["summary"])
+    for band in ("High", "Medium"):
+        assert summary[f"{band.lower()}_risk_count"] == sum(
+            r["risk_band"] == band for r in scored.values())
+
+
 def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() > 0
