@@ -279,11 +279,17 @@ class ShardReader:
         return np.concatenate(flat)
 
 
+#: Characters of a text that take part in the range key, which is sampled to the driver.
+_PREFIX = 64
+
+
 def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, length: int = LENGTH,
                  batch: int = BATCH) -> DataFrame:
     """Encode and write all documents; the manifest: shard, name, n_docs and n_ids of each."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    placed = rows.repartitionByRange(F.asc_nulls_first("doc_id")).sortWithinPartitions(
+    # The first characters sort as the texts do, so texts of one id may go to several shards.
+    placed = rows.repartitionByRange(
+        F.asc_nulls_first("doc_id"), F.substring("text", 1, _PREFIX)).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,6 +66,22 @@ def test_files_round_trip(spark, tmp_path, length, batch):
         assert isinstance(shard.batches[0].schema.field("mask").type, pa.FixedSizeListType)
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_one_id_goes_to_several_shards(spark, tmp_path, doc_id):
+    texts = sorted(f"{i * 7919 % 1000:03d} " + "word " * (i % 40) for i in range(400))
+    docs = documents(spark, [(doc_id, t, "a") for t in reversed(texts)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(docs, tokenizer_file(ENCODER), f"file:{tmp_path}/t")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 1
+    rows = token_files.read_documents(spark, manifest, f"file:{tmp_path}/t").orderBy("start").collect()
+    wanted = [np.array([*ids, 2], "<u4") for ids in reference_ids(texts)]
+    assert [r["n_tokens"] for r in rows] == [len(ids) for ids in wanted]
+    assert [r["ids_crc32"] for r in rows] == [zlib.crc32(ids.tobytes()) for ids in wanted]
+
+
 def test_no_documents_no_files(spark, tmp_path):
     manifest = token_files.write_tokens(empty(spark), tokenizer_file(ENCODER), f"file:{tmp_path}/t")
     assert manifest.count() == 0
