@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort.llm import (
-    chat, decontaminate, mixing, ngram_join, quality, ring, token_counts, token_files, topk,
-    url_rules,
+    chat, decontaminate, mixing, ngram_join, packing, quality, ring, token_counts, token_files,
+    topk, url_rules,
 )
 from clickcohort.llm.common import shared_folder, table
 
@@ -88,6 +88,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "benchmark"), short_items=True)
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = packing.bucket_folder(spark)
+    packing.write_buckets(table(spark, sf_dir, "documents"), tokenizer_file(ENCODER), folder)
+    return packing.digests(packing.read_buckets(spark, folder))
+
+
 QUERIES: dict[str, Query] = {fn.__name__: fn for fn in (
     op1_mixing, op2_token_files, op3_token_counts, op4_ngram_join, op5_url_rules, op6_ring,
-    op7_quality, op8_pivot_topk, op9_chat, op10_decontaminate)}
+    op7_quality, op8_pivot_topk, op9_chat, op10_decontaminate, op13_packing)}
