@@ -102,3 +102,37 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+ORACLES["op11_lexical"] = r"""
+WITH held AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+item_terms AS (SELECT item_id, term, count(*) AS repeats FROM asked GROUP BY item_id, term),
+weights AS (
+  SELECT t.term, floor(1000 * ln((2 * any_value(s.n_docs) + 2)::DOUBLE
+                                 / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf t CROSS JOIN total s WHERE t.term IN (SELECT term FROM item_terms) GROUP BY t.term),
+impacts AS (
+  SELECT t.doc_id, t.term,
+         w.w * ((1000000000 * t.tf)
+                // (1000 * t.tf + 12 * (75 + (25 * d.n * s.n_docs) // s.n_terms))) AS impact
+  FROM tf t JOIN weights w ON t.term = w.term JOIN sizes d ON t.doc_id = d.doc_id
+  CROSS JOIN total s),
+scores AS (
+  SELECT i.item_id, p.doc_id, sum(i.repeats * p.impact)::BIGINT AS score
+  FROM item_terms i JOIN impacts p ON i.term = p.term GROUP BY i.item_id, p.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
