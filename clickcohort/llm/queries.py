@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort.llm import (
-    chat, decontaminate, lexical, mixing, ngram_join, packing, quality, ring, token_counts,
-    token_files, topk, url_rules,
+    chat, decontaminate, lexical, mixing, ngram_join, packing, quality, ring, spelling,
+    token_counts, token_files, topk, url_rules,
 )
 from clickcohort.llm.common import shared_folder, table
 
@@ -92,6 +92,10 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = packing.bucket_folder(spark)
     packing.write_buckets(table(spark, sf_dir, "documents"), tokenizer_file(ENCODER), folder)
@@ -101,4 +105,4 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {fn.__name__: fn for fn in (
     op1_mixing, op2_token_files, op3_token_counts, op4_ngram_join, op5_url_rules, op6_ring,
     op7_quality, op8_pivot_topk, op9_chat, op10_decontaminate, op11_lexical,
-    op13_packing)}
+    op12_spelling, op13_packing)}
