@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort import adapters
@@ -491,9 +490,8 @@ SET_NODES = [
 ]
 
 
-def set_forest() -> iforest.Forest:
-    names = [f.split()[0] for f in iforest.NODE_SCHEMA.split(", ")]
-    return iforest.Forest(pd.DataFrame(SET_NODES, columns=names), SET_FEATURES, SET_ROWS)
+def set_forest(spark: SparkSession) -> iforest.Forest:
+    return iforest.forest_of_nodes(spark, SET_NODES, SET_FEATURES, SET_ROWS)
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,7 +507,7 @@ LOW_THRESHOLDS = Params(thresholds={"high": 0.6, "medium": 0.4, "low": 0.25})
 def scored_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features, rule scores, scores of the set forest, blend and bands."""
     features = stored_features(spark, sf_dir)
-    scored = scoring.add_scores(features, iforest.iso_scores(features, set_forest()),
+    scored = scoring.add_scores(features, iforest.iso_scores(features, set_forest(spark)),
                                 LOW_THRESHOLDS)
     # Equal scores must rank as equal whatever the order of their additions.
     return scored.withColumn("botness", F.round("botness", 9))

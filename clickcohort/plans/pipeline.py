@@ -80,7 +80,7 @@ def score_day(spark: SparkSession, date: str, root: str, params: Params = Params
     features = read_day(spark, f"{root}/features", date)
     forest = fit_forest(features, params=params)
     if forest is not None:
-        write_model(forest, spark, f"{root}/models/date={date}")
+        write_model(forest, f"{root}/models/date={date}")
     scored = add_scores(features, iso_scores(features, forest, orientation), params)
     write_day(scored, f"{root}/scores", date=date)
     return read_day(spark, f"{root}/scores", date)

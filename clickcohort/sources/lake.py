@@ -41,5 +41,5 @@ def write_json(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_model(forest, spark: SparkSession, path: str) -> None:
-    forest.to_table(spark).write.mode("overwrite").parquet(path)
+def write_model(forest, path: str) -> None:
+    forest.to_table().write.mode("overwrite").parquet(path)

@@ -60,7 +60,7 @@ def test_three_days(spark, tmp_path, dimension):  # noqa: F811
     assert document["metadata"]["date"] == "2025-09-03"
     assert spark.read.option("header", True).csv(f"{out}/risk_distribution").count() == 3
     model = load_model(spark, root, "2025-09-03")
-    assert model.nodes["tree_id"].nunique() == 20
+    assert model.nodes().select("tree_id").distinct().count() == 20
 
 
 def test_rerun_of_a_day_changes_nothing(spark, tmp_path, dimension):  # noqa: F811

@@ -8,6 +8,7 @@ from clickcohort.operators import iforest, ranking, scoring
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
 from clickcohort.plans import reports
+from clickcohort.sources import lake
 
 RULES = {
     # all suspicious, all harmless, in between; without events the volume adds nothing
@@ -144,12 +145,16 @@ def cloud(spark, n=200):
 SMALL = Params(n_trees=60, max_samples=0.8)
 
 
+def flat(forest):
+    return sorted(map(tuple, forest.nodes().collect()))
+
+
 def test_forest_finds_the_outlier(spark):
     frame = cloud(spark)
     forest = iforest.fit_forest(frame, params=SMALL)
     assert forest.columns == ["constant", "x", "y"]
     assert forest.samples == 160
-    assert forest.nodes["tree_id"].nunique() == 60
+    assert forest.nodes().select("tree_id").distinct().count() == 60
     rows = {r[KEY]: r["iso_score"] for r in iforest.iso_scores(frame, forest).collect()}
     assert len(rows) == 200
     assert rows["k0000"] == 0.0 and max(rows.values()) == 1.0
@@ -162,31 +167,70 @@ def test_forest_does_not_depend_on_partitions(spark):
     frame = cloud(spark)
     first = iforest.fit_forest(frame, params=SMALL)
     second = iforest.fit_forest(frame.repartition(9, "x"), params=SMALL)
-    assert first.nodes.equals(second.nodes)
-
-
-def test_forest_matches_a_plain_walk(spark):
-    """Scores against a path-by-path walk of the same node table."""
-    frame = cloud(spark, 50)
-    forest = iforest.fit_forest(frame, params=Params(n_trees=20, max_samples=0.8))
-    nodes = {(r.tree_id, r.node_id): r for r in forest.nodes.itertuples()}
-    c = float(iforest.average_path(np.array([forest.samples]))[0])
-    for row in frame.withColumn("s", forest.normality(frame)).collect():
-        depth = 0.0
-        for tree in range(20):
-            node = nodes[(tree, 0)]
-            while node.feature >= 0:
-                low = row[forest.columns[node.feature]] <= node.threshold
-                node = nodes[(tree, node.left if low else node.right)]
-            depth += node.path_len
-        assert row["s"] == pytest.approx(-(2 ** (-depth / 20 / c)))
+    assert flat(first) == flat(second)
+
+
+def test_hash_is_sparks(spark):
+    rng = np.random.default_rng(1)
+    rows = rng.integers(-2 ** 63, 2 ** 63 - 1, (50, 3))
+    frame = spark.createDataFrame([tuple(map(int, r)) for r in rows], "a bigint, b bigint, c bigint")
+    wanted = [r[0] for r in frame.select(F.xxhash64("a", "b", "c")).collect()]
+    assert iforest.hash_longs(rows[:, 0], rows[:, 1], rows[:, 2]).tolist() == wanted
+
+
+def plain_path(x, members, tree, depth, node, columns, seed, limit):
+    """Path lengths of all rows of one tree by plain recursion; ``members`` are its sample."""
+    if not len(members):
+        return {}
+    rows = x[members[0]]
+    low, high = rows.min(axis=0), rows.max(axis=0)
+    varied = [f for f in columns if high[f] > low[f]]
+    everyone = members[1]
+    if len(rows) < 2 or not varied or depth >= limit:
+        return {i: float(iforest.path_length(depth, np.array([len(rows)]))[0]) for i in everyone}
+    feature = max(varied, key=lambda f: int(iforest.hash_longs(seed, tree, node, f)))
+    cut = float(iforest.cut_place(seed, tree, node, low[feature], high[feature]))
+    out = {}
+    for child, side in ((2 * node, lambda v: v <= cut), (2 * node + 1, lambda v: v > cut)):
+        part = [[i for i in m if side(x[i, feature])] for m in members]
+        out |= plain_path(x, part, tree, depth + 1, child, columns, seed, limit)
+    return out
+
+
+@pytest.mark.parametrize("cell_rows, turn_bytes", [(10_000, 1 << 40), (8, 1 << 40), (30, 6_000)])
+def test_paths_match_plain_recursion(spark, monkeypatch, cell_rows, turn_bytes):
+    """However a tree is cut into levels and cells, every row has the path of the plain method."""
+    n, trees, seed = 90, 5, 42
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(0, 1, (n, 3)), 1)
+    x[:30] = x[0]               # a third of all rows are the same
+    frame = spark.createDataFrame([(f"k{i:03d}", *map(float, x[i])) for i in range(n)],
+                                  [KEY, "a", "b", "c"]).repartition(3)
+    params = Params(n_trees=trees, max_samples=0.8, seed=seed)
+    forest = iforest.fit_forest(frame, params=params, cell_rows=cell_rows, turn_bytes=turn_bytes)
+    rows = frame.select(F.col(KEY).alias("key"))
+    cuts = iforest.cut_offs(rows, n, 72, trees, seed)
+    inside = {r[0]: r[1] for r in rows.select(
+        "key", iforest._inside(range(trees), cuts, seed)).collect()}
+    wanted = np.zeros(n)
+    for tree in range(trees):
+        sample = [i for i in range(n) if inside[f"k{i:03d}"][tree]]
+        assert len(sample) == 72
+        for i, path in plain_path(x, [sample, range(n)], tree, 0, 1, range(3), seed, 7).items():
+            wanted[i] += path
+    got = {r[KEY]: r["path"] for r in iforest.path_sums(
+        frame, forest, group_bytes=4000, part_rows=25, turn_bytes=turn_bytes).collect()}
+    assert got == {f"k{i:03d}": wanted[i] for i in range(n)}
+    assert (forest.cells.where("cell > 1").count() > 0) == (cell_rows < 72)
 
 
 def test_every_tree_gets_its_rows(spark):
-    frame = cloud(spark).select(KEY, F.array("x", "y").alias("x"))
-    dealt = iforest._deal(frame, KEY, 200, 160, 30, 42).groupBy("tree_id").count().collect()
-    assert len(dealt) == 30 and min(r["count"] for r in dealt) >= 155
-    assert len(iforest._deal(frame, KEY, 200, 2, 10, 42).select("tree_id").distinct().collect()) <= 10
+    keys = cloud(spark).select(F.col(KEY).alias("key"))
+    for samples in (1, 2, 100, 160, 199):
+        cuts = iforest.cut_offs(keys, 200, samples, 30, 42)
+        taken = keys.select(F.posexplode(iforest._inside(range(30), cuts, 42))).where("col")
+        assert {r["count"] for r in taken.groupBy("pos").count().collect()} == {samples}
+        assert taken.select("pos").distinct().count() == 30
 
 
 def test_rows_per_tree_follow_one_rule():
@@ -224,12 +268,24 @@ def test_forest_degenerate_inputs(spark):
     assert flat.agg(F.max("iso_score")).first()[0] == 0.0
 
 
-def test_model_table_round_trip(spark, tmp_path):
+def test_stored_model_scores(spark, tmp_path):
+    """Scores of a forest read back from its table, without a node on the driver."""
     frame = cloud(spark)
-    forest = iforest.fit_forest(frame, params=SMALL)
-    forest.to_table(spark).write.parquet(str(tmp_path / "model"))
-    again = iforest.Forest.from_table(spark.read.parquet(str(tmp_path / "model")))
-    assert again.columns == forest.columns and again.samples == forest.samples
-    a = iforest.iso_scores(frame, forest).orderBy(KEY).collect()
-    again.nodes = again.nodes.sort_values(["tree_id", "node_id"], ignore_index=True)
-    assert iforest.iso_scores(frame, again).orderBy(KEY).collect() == a
+    for cell_rows in (1000, 20):
+        forest = iforest.fit_forest(frame, params=SMALL, cell_rows=cell_rows)
+        path = str(tmp_path / f"model{cell_rows}")
+        lake.write_model(forest, path)
+        again = iforest.Forest.from_table(spark.read.parquet(path))
+        assert again.columns == forest.columns and again.samples == forest.samples
+        a = iforest.iso_scores(frame, forest).orderBy(KEY).collect()
+        assert iforest.iso_scores(frame, again).orderBy(KEY).collect() == a
+
+
+def test_new_rows_are_scored_by_a_given_forest(spark):
+    nodes = [(0, 0, 0, 1.5, 1, 2, 0.0), (0, 1, -1, 0.0, -1, -1, 2.0), (0, 2, -1, 0.0, -1, -1, 4.0),
+             (1, 0, -1, 0.0, -1, -1, 1.0)]
+    forest = iforest.forest_of_nodes(spark, nodes, ["v"], 8)
+    frame = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", None), ("d", float("nan"))],
+                                  [KEY, "v"])
+    assert {tuple(r) for r in iforest.path_sums(frame, forest).collect()} == {
+        ("a", 3.0), ("b", 5.0), ("c", 3.0), ("d", 3.0)}
