@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickcohort.operators.ladder import read_day_text, sweep_of_days
 from clickcohort.operators.tallies import KEY
 
 TOP_SIGNATURES = 3
@@ -26,7 +27,6 @@ LOW_DIVERSITY_VALUES = 5
 LOW_DIVERSITY_EVENTS = 100
 
 _FIELD = "\u0001"
-_NULL = "\u0002"
 
 IDENTITY = ("date", "site", "partner", "ip", "user_agent",
             "user_agent_type", "device_type", "os_type")
@@ -64,34 +64,50 @@ def value_counts_by_kind(events: DataFrame, kinds: dict[str, Column], key: str =
 
 
 def frequency_features(events: DataFrame, kinds: Sequence[str] | None = None,
-                       patterns: bool = False, key: str = KEY) -> DataFrame:
-    """Repetition, diversity and session measures of each cohort."""
+                       patterns: bool = False, key: str = KEY, ladder: bool = False,
+                       distinct_dates: bool = False) -> DataFrame:
+    """Repetition, diversity and session measures of each cohort.
+
+    With ``ladder``, the sweeps of ladder.py too, from the same counted departure dates.
+    """
     available = _kind_columns(events.columns)
     if kinds is not None:
         available = {k: v for k, v in available.items() if k in kinds}
-    profile = (
-        value_counts_by_kind(events, available, key)
-        .groupBy(key, "kind", F.col("value").isNull().alias("missing"), "n")
-        .agg(F.count("*").alias("m"))
-    )
-    n, m = F.col("n"), F.col("m")
+    ladder = ladder and "dep_date" in available
+    kind, n, m = F.col("kind"), F.col("n"), F.col("m")
+    counted = value_counts_by_kind(events, available, key)
+    # Values are told apart no further than needed: signatures by how often they occur,
+    # departure dates by the day they name.
+    groups = [key, "kind", F.col("value").isNull().alias("missing"),
+              F.when(kind == "signature", n).alias("size")]
+    if ladder:
+        day, bad = read_day_text(F.col("value"))
+        groups += [F.when(kind == "dep_date", day).alias("day"),
+                   ((kind == "dep_date") & bad).alias("bad")]
+    profile = counted.groupBy(*groups).agg(F.count("*").alias("m"), F.sum("n").alias("rows"))
     first_kind = next(iter(available))
     aggregates = [
-        F.coalesce(F.sum(F.when(F.col("kind") == first_kind, n * m)), F.lit(0)).alias("_events")
+        F.coalesce(F.sum(F.when(kind == first_kind, F.col("rows"))), F.lit(0)).alias("_events")
     ]
-    for kind in available:
-        known = (F.col("kind") == kind) & ~F.col("missing")
+    for name in available:
+        known = (kind == name) & ~F.col("missing")
         aggregates.append(
-            F.coalesce(F.sum(F.when(known, m)), F.lit(0)).alias(f"_distinct_{kind}"))
-        if kind == "signature":
+            F.coalesce(F.sum(F.when(known, m)), F.lit(0)).alias(f"_distinct_{name}"))
+        if name == "signature":
+            size = F.col("size")
             aggregates += [
-                F.coalesce(F.max(F.when(known, n)), F.lit(0)).alias("_top"),
-                F.coalesce(F.sum(F.when(known & (n >= REPEAT_FLOOR), m)), F.lit(0))
+                F.coalesce(F.max(F.when(known, size)), F.lit(0)).alias("_top"),
+                F.coalesce(F.sum(F.when(known & (size >= REPEAT_FLOOR), m)), F.lit(0))
                 .alias("num_exact_repeats_ge_10"),
-                F.coalesce(F.sum(F.when(known, (n - 1) * m)), F.lit(0)).alias("_repeats"),
-                F.collect_list(F.when(known, F.struct("n", "m"))).alias("_sizes"),
+                F.coalesce(F.sum(F.when(known, (size - 1) * m)), F.lit(0)).alias("_repeats"),
+                F.collect_list(F.when(known, F.struct(size.alias("n"), "m"))).alias("_sizes"),
             ]
     outputs = _outputs(available, patterns, wanted=kinds)
+    if ladder:
+        # One entry a calendar date, whatever the number of events.
+        aggregates.append(F.sort_array(F.collect_list(F.when(
+            kind == "dep_date", F.struct("day", "bad", "rows")))).alias("_days"))
+        outputs += sweep_of_days(F.col("_days"), distinct_dates)
     return profile.groupBy(key).agg(*aggregates).select(key, *outputs)
 
 
@@ -155,6 +171,15 @@ def _outputs(kinds: dict[str, Column], patterns: bool,
     return outputs
 
 
+def identity_counts(events: DataFrame, identity: Sequence[str] = IDENTITY,
+                    key: str = KEY) -> DataFrame:
+    """(cohort, its identity columns, full user agent) -> n, first_row: as many rows as cohorts
+    have agents. It feeds the leading values, the sizes of cohorts and the day-wide look-ups."""
+    names = [c for c in (*identity, "user_agent_full") if c in events.columns]
+    return events.groupBy(key, *names).agg(
+        F.count("*").alias("n"), F.min("row_id").alias("first_row"))
+
+
 def leading_values(events: DataFrame, identity: Sequence[str] = IDENTITY,
                    min_events: int = 1, key: str = KEY) -> DataFrame:
     """Columns of the first row of each cohort, and its most common full user agent.
@@ -163,42 +188,33 @@ def leading_values(events: DataFrame, identity: Sequence[str] = IDENTITY,
     text. Both work on counted values, not on rows. Cohorts with fewer than
     ``min_events`` events are left out.
     """
-    have = [c for c in identity if c in events.columns]
-    packed = F.concat_ws(
-        _FIELD, *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in have])
-    pairs = [F.struct(F.lit("who").alias("kind"), packed.alias("value"))]
-    has_full = "user_agent_full" in events.columns
-    if has_full:
-        pairs.append(F.struct(F.lit("full").alias("kind"),
-                              F.col("user_agent_full").cast("string").alias("value")))
-    counted = (
-        events.select(key, "row_id", F.explode(F.array(*pairs)).alias("_kv"))
-        .select(key, "row_id", "_kv.kind", "_kv.value")
-        .groupBy(key, "kind", "value")
-        .agg(F.count("*").alias("n"), F.min("row_id").alias("first_row"))
-    )
-    is_who, is_full = F.col("kind") == "who", F.col("kind") == "full"
-    known = is_full & F.col("value").isNotNull()
-    aggregates = [
-        F.min_by("value", F.when(is_who, F.col("first_row"))).alias("_who"),
-        F.sum(F.when(is_who, F.col("n"))).alias("_events"),
-    ]
+    return leading_of_counts(identity_counts(events, identity, key), identity, min_events, key)
+
+
+def leading_of_counts(counts: DataFrame, identity: Sequence[str] = IDENTITY,
+                      min_events: int = 1, key: str = KEY) -> DataFrame:
+    """``leading_values`` of a table of ``identity_counts``."""
+    have = [c for c in identity if c in counts.columns]
+    has_full = "user_agent_full" in counts.columns
+    full = F.col("user_agent_full").cast("string") if has_full else F.lit(None).cast("string")
+    by_agent = counts.groupBy(key, full.alias("_agent")).agg(
+        F.sum("n").alias("n"), F.min("first_row").alias("first_row"),
+        F.min_by(F.struct(*have) if have else F.lit(0), "first_row").alias("_who"))
+    aggregates = [F.min_by("_who", "first_row").alias("_who"), F.sum("n").alias("_events")]
+    outputs = [F.col(f"_who.{c}").cast("string").alias(c) for c in have]
     if has_full:
+        known = F.col("_agent").isNotNull()
         aggregates += [
-            F.min_by("value", F.when(known, F.struct((-F.col("n")).alias("n"), "value")))
+            F.min_by("_agent", F.when(known, F.struct((-F.col("n")).alias("n"), "_agent")))
             .alias("_full"),
             F.max(F.when(known, F.col("n"))).alias("_full_n"),
         ]
-    parts = F.split("_who", _FIELD)
-    outputs = [F.nullif(F.get(parts, F.lit(i)), F.lit(_NULL)).alias(c)
-               for i, c in enumerate(have)]
-    if has_full:
         outputs += [
             F.coalesce("_full", F.lit("Unknown")).alias("ua_full"),
             F.coalesce(F.col("_full_n") / F.col("_events"), F.lit(0.0))
             .alias("ua_full_mode_share"),
         ]
-    grouped = counted.groupBy(key).agg(*aggregates).where(F.col("_events") >= min_events)
+    grouped = by_agent.groupBy(key).agg(*aggregates).where(F.col("_events") >= min_events)
     return grouped.select(key, *outputs)
 
 

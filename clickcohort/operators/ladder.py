@@ -1,13 +1,13 @@
 """Ladder sweeps: runs of departure dates that climb one day at a time.
 
-Dates are counted per (cohort, date) before they are ordered, so the window that
-orders them sees each calendar date of a cohort once: its size is bounded by the
-calendar, not by the number of events.
+Dates are counted per (cohort, date) before they are put in order, so the array that orders
+them has each calendar date of a cohort once: its size is bounded by the calendar, not by the
+number of events.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickcohort.functions.cleaning import parse_date, strip
 from clickcohort.operators.tallies import KEY
@@ -16,40 +16,45 @@ MIN_DATES = 3     # fewer rows than this are never a sweep
 MIN_STEPS = 2     # steps of one day in a row that make a run
 
 
-def ladder_sweep(events: DataFrame, date_col: str = "dep_date", key: str = KEY,
-                 distinct_dates: bool = False) -> DataFrame:
-    """ladder_sweep, ladder_sweep_count per cohort.
+def read_day_text(value: Column) -> tuple[Column, Column]:
+    """The day a text names, and whether it is text that names none."""
+    text = F.nullif(strip(value.cast("string")), F.lit(""))
+    day = parse_date(text)
+    return day, text.isNotNull() & day.isNull()
+
+
+def sweep_of_days(days: Column, distinct_dates: bool = False) -> list[Column]:
+    """ladder_sweep and ladder_sweep_count of (day, bad, rows) entries, sorted.
 
     Repeated dates are zero-day steps and break a run unless ``distinct_dates``.
     One date that cannot be read makes the whole cohort no sweep.
     """
-    raw = F.col(date_col)
-    text = F.nullif(strip(raw.cast("string")), F.lit(""))
-    day = parse_date(text)
-    counted = (
-        events.select(key, day.alias("day"),
-                      (text.isNotNull() & day.isNull()).alias("bad"))
-        .groupBy(key, "day", "bad").agg(F.count("*").alias("n"))
-    )
-    order = Window.partitionBy(key).orderBy(F.asc_nulls_first("day"), "bad")
-    step = F.datediff("day", F.lag("day").over(order))
-    repeated = F.lit(False) if distinct_dates else F.coalesce(
-        F.lag("n").over(order) > 1, F.lit(False))
-    runs = (
-        counted.withColumns({
-            "one_day": F.coalesce(step == 1, F.lit(False)),
-            "breaks": ~F.coalesce(step == 1, F.lit(False)) | repeated,
-        })
-        .withColumn("run", F.sum(F.col("breaks").cast("int")).over(
-            order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(key, "run")
-        .agg(F.count_if("one_day").alias("steps"), F.sum("n").alias("rows"),
-             F.max("bad").alias("bad"))
-    )
-    usable = (F.sum("rows") >= MIN_DATES) & ~F.max("bad")
-    total = F.sum(F.when(F.col("steps") >= MIN_STEPS, F.col("steps")).otherwise(F.lit(0)))
-    return (
-        runs.groupBy(key)
-        .agg(F.when(usable, total).otherwise(F.lit(0)).alias("ladder_sweep_count"))
-        .select(key, (F.col("ladder_sweep_count") > 0).alias("ladder_sweep"), "ladder_sweep_count")
-    )
+    zero = F.lit(0).cast("long")
+
+    def closed(acc: Column) -> Column:
+        return acc["total"] + F.when(acc["steps"] >= MIN_STEPS, acc["steps"]).otherwise(zero)
+
+    def step(acc: Column, entry: Column) -> Column:
+        one_day = F.coalesce(F.datediff(entry["day"], acc["day"]) == 1, F.lit(False))
+        goes_on = one_day if distinct_dates else one_day & (acc["rows"] <= 1)
+        return F.struct(
+            entry["day"].alias("day"), entry["rows"].alias("rows"),
+            (acc["all"] + entry["rows"]).alias("all"), (acc["bad"] | entry["bad"]).alias("bad"),
+            (F.when(goes_on, acc["steps"]).otherwise(zero) + one_day.cast("long")).alias("steps"),
+            F.when(goes_on, acc["total"]).otherwise(closed(acc)).alias("total"))
+    start = F.struct(F.lit(None).cast("date").alias("day"), zero.alias("rows"), zero.alias("all"),
+                     F.lit(False).alias("bad"), zero.alias("steps"), zero.alias("total"))
+    count = F.aggregate(days, start, step, lambda acc: F.when(
+        (acc["all"] >= MIN_DATES) & ~acc["bad"], closed(acc)).otherwise(zero))
+    return [(count > 0).alias("ladder_sweep"), count.alias("ladder_sweep_count")]
+
+
+def ladder_sweep(events: DataFrame, date_col: str = "dep_date", key: str = KEY,
+                 distinct_dates: bool = False) -> DataFrame:
+    """ladder_sweep, ladder_sweep_count per cohort."""
+    day, bad = read_day_text(F.col(date_col))
+    counted = events.select(key, day.alias("day"), bad.alias("bad")).groupBy(
+        key, "day", "bad").agg(F.count("*").alias("rows"))
+    return counted.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
+        "day", "bad", "rows"))).alias("_days")).select(
+        key, *sweep_of_days(F.col("_days"), distinct_dates))

@@ -27,13 +27,16 @@ class HotCohorts(NamedTuple):
     rows: int         # rows of all hot cohorts together
 
 
-def find_hot(events: DataFrame, limit: int, key: str = KEY) -> HotCohorts | None:
+def find_hot(events: DataFrame, limit: int, key: str = KEY, count: str | None = None
+             ) -> HotCohorts | None:
     """Cohorts with more than ``limit`` rows; None if there are none.
 
     One pass over the key column, a second where there are any, so that later uses read
-    the written keys; two numbers reach the driver.
+    the written keys; two numbers reach the driver. ``count`` names a column of row numbers
+    where the rows are counted already.
     """
-    sizes = (events.groupBy(key).agg(F.count("*").alias("size"))
+    size = F.count("*") if count is None else F.sum(count)
+    sizes = (events.groupBy(key).agg(size.alias("size"))
              .where(F.col("size") > limit))
     found, rows = sizes.agg(F.count("*"), F.sum("size")).first()
     if not found:

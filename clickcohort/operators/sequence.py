@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickcohort.operators.layout import HotCohorts, find_hot, split_hot
-from clickcohort.operators.tallies import KEY
+from clickcohort.operators.tallies import KEY, Block, joint_block, tallies
 from clickcohort.params import Params
 from clickcohort.session import ensure_checkpoint_dir
 
@@ -40,11 +40,31 @@ def is_error(code: Column) -> Column:
     return F.coalesce(outside, F.lit(False))
 
 
-def _narrow(events: DataFrame, key: str) -> DataFrame:
+def _ordered_columns(events: DataFrame) -> dict[str, Column]:
     has = set(events.columns)
     ts = F.unix_micros("timestamp") if "timestamp" in has else F.lit(None).cast("long")
     err = is_error(F.col("status_code")) if "status_code" in has else F.lit(False)
-    return events.select(key, ts.alias("ts"), F.col("row_id"), err.alias("err"))
+    return {"ts": ts, "err": err}
+
+
+def _narrow(events: DataFrame, key: str) -> DataFrame:
+    ordered = _ordered_columns(events)
+    return events.select(key, ordered["ts"].alias("ts"), F.col("row_id"),
+                         ordered["err"].alias("err"))
+
+
+def sequence_and_tallies(events: DataFrame, params: Params, key: str, hot: HotCohorts | None
+                         ) -> DataFrame:
+    """``tallies`` and ``sequence_features`` side by side.
+
+    Without a hot cohort both come out of one scan and one shuffle.
+    """
+    if hot is not None:
+        return tallies(events, params=params, key=key).join(
+            sequence_features(events, params, key, hot), key, "left")
+    joint = joint_block(events.columns, params=params)
+    measured = _by_window(events.withColumns(_ordered_columns(events)), params, key, joint)
+    return _finish(measured, params, key, joint)
 
 
 def _names(percentiles: Sequence[int]) -> list[str]:
@@ -71,7 +91,8 @@ def sequence_features(events: DataFrame, params: Params = Params(), key: str = K
     return _finish(measured, params, key)
 
 
-def _finish(measured: DataFrame, params: Params, key: str) -> DataFrame:
+def _finish(measured: DataFrame, params: Params, key: str, also: Block | None = None
+            ) -> DataFrame:
     none = F.col("gaps") == 0
     names = _names(params.gap_percentiles)
     measured = measured.withColumns({
@@ -79,6 +100,9 @@ def _finish(measured: DataFrame, params: Params, key: str) -> DataFrame:
         for i, name in enumerate(names)
     })
     outputs = [F.col(key), *[F.col(name) for name in names]]
+    if also is not None:
+        measured = measured.withColumns(also.steps)
+        outputs += also.outputs
     if "gap_p50" in names and "gap_p95" in names:
         outputs.append(
             F.when(~none, F.when(F.col("gap_p50") > 0, F.col("gap_p95") / F.col("gap_p50"))
@@ -91,7 +115,8 @@ def _finish(measured: DataFrame, params: Params, key: str) -> DataFrame:
     return measured.select(*outputs)
 
 
-def _by_window(rows: DataFrame, params: Params, key: str) -> DataFrame:
+def _by_window(rows: DataFrame, params: Params, key: str, also: Block | None = None
+               ) -> DataFrame:
     order = Window.partitionBy(key).orderBy(F.asc_nulls_first("ts"), "row_id", "err")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     frame = order.rowsBetween(1 - FRAME, 0)
@@ -115,6 +140,7 @@ def _by_window(rows: DataFrame, params: Params, key: str) -> DataFrame:
             F.max(F.when(F.col("gap_no") >= FRAME, F.col("dense"))).alias("run"),
             F.max(F.when(F.col("err"), F.col("pos") - F.coalesce("last_ok", F.lit(0))))
             .cast("long").alias("burst"),
+            *(also.aggregates if also is not None else []),
         )
     )
 

@@ -202,19 +202,24 @@ BLOCKS: dict[str, Callable[[Sequence[str], Params], Block]] = {
 }
 
 
+def joint_block(columns: Sequence[str], blocks: Sequence[str] = tuple(BLOCKS),
+                params: Params = Params()) -> Block:
+    """The chosen blocks and the number of events as one."""
+    joint = Block([F.count("*").alias("n_events")], [F.col("n_events")], {})
+    for name in blocks:
+        block = BLOCKS[name](columns, params)
+        joint = Block(joint.aggregates + block.aggregates, joint.outputs + block.outputs,
+                      joint.steps | block.steps)
+    return joint
+
+
 def tallies(events: DataFrame, blocks: Sequence[str] = tuple(BLOCKS),
             params: Params = Params(), key: str = KEY) -> DataFrame:
     """The chosen blocks, one row per cohort, in a single shuffle."""
-    chosen = [BLOCKS[name](events.columns, params) for name in blocks]
-    aggregates = [F.count("*").alias("n_events")]
-    outputs = [F.col(key), F.col("n_events")]
-    steps: dict[str, Column] = {}
-    for block in chosen:
-        aggregates += block.aggregates
-        outputs += block.outputs
-        steps |= block.steps
-    grouped = events.groupBy(key).agg(*aggregates)
-    return (grouped.withColumns(steps) if steps else grouped).select(*outputs)
+    joint = joint_block(events.columns, blocks, params)
+    grouped = events.groupBy(key).agg(*joint.aggregates)
+    return (grouped.withColumns(joint.steps) if joint.steps else grouped).select(
+        key, *joint.outputs)
 
 
 def min_size_filter(events: DataFrame, min_events: int, key: str = KEY) -> DataFrame:

@@ -1,10 +1,11 @@
 """Event table to one row per cohort.
 
-Each block shuffles only its own narrow columns, once, to the cohort, or, when a cohort
-is too large for one task, combines them map-side and spreads them by value (see
-operators/layout.py). The blocks are then joined at cohort size, where all of them
-are already partitioned by the key. Small cohorts are dropped after aggregation
-instead of by a join on the events.
+The events are read three times: for the cohorts and their agents, for the values they hold, each
+counted once, and for what needs rows or their order. Each pass shuffles its own columns once to
+the cohort, or, when a cohort is too large for one task, combines them map-side and spreads them by
+value (see operators/layout.py). The results are then joined at cohort size, where all of them are
+already partitioned by the key. Small cohorts are dropped after aggregation instead of by a join on
+the events.
 """
 
 from __future__ import annotations
@@ -13,15 +14,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from clickcohort.functions.distribution import HOUR_COLUMNS
 from clickcohort.operators.frequency import (
-    IDENTITY, frequency_features, leading_values, order_value_outputs,
+    IDENTITY, frequency_features, identity_counts, leading_of_counts, order_value_outputs,
 )
 from clickcohort.operators.ingest import with_row_id
-from clickcohort.operators.ladder import ladder_sweep
 from clickcohort.operators.layout import by_cohort, find_hot
 from clickcohort.operators.lookups import add_ua_churn, add_ua_ip_diversity
-from clickcohort.operators.sequence import sequence_features
-from clickcohort.operators.tallies import KEY, tallies
+from clickcohort.operators.sequence import sequence_and_tallies
+from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
+from clickcohort.session import ensure_checkpoint_dir
 
 FEATURE_ORDER = (
     KEY, *IDENTITY,
@@ -55,29 +56,25 @@ def cohort_features(events: DataFrame, params: Params = Params()) -> DataFrame:
     """
     events = with_row_id(events.where(F.col(KEY).isNotNull()))
     have = set(events.columns)
-    hot = find_hot(events, params.hot_cohort_rows)
-
-    def block(compute) -> DataFrame:
-        return by_cohort(events, hot, compute)
-
-    # Look-ups by other keys run on the narrow identity rows, before the wide blocks.
-    who = block(lambda e: leading_values(e, min_events=params.min_events))
+    # Scan 1: cohorts and their agents, written once for sizes, names and day-wide look-ups.
+    ensure_checkpoint_dir(events.sparkSession)
+    agents = identity_counts(events).checkpoint()
+    hot = find_hot(agents, params.hot_cohort_rows, count="n")
+    who = leading_of_counts(agents, min_events=params.min_events)
     if {"user_agent_full", "ip", "date"} <= have:
-        who = add_ua_ip_diversity(who, events)
+        who = add_ua_ip_diversity(who, agents)
     if {"ip", "user_agent", "date"} <= have:
-        who = add_ua_churn(who, events)
+        who = add_ua_churn(who, agents)
     else:
         who = who.withColumn("ua_churn_per_ip_day", F.lit(1).cast("long"))
-    out = block(lambda e: tallies(e, params=params)).where(
+    # Scan 2: all counted values. Scan 3: everything that needs rows or their order.
+    counted = by_cohort(events, hot, lambda e: frequency_features(
+        e, ladder=True, distinct_dates=params.ladder_distinct_dates))
+    out = sequence_and_tallies(events, params, KEY, hot).where(
         F.col("n_events") >= params.min_events)
-    out = out.join(who, KEY, "left")
     out = order_value_outputs(_with_order_values(
-        out.join(block(frequency_features), KEY, "left")))
-    out = out.join(sequence_features(events, params, hot=hot), KEY, "left")
-    if "dep_date" in have:
-        out = out.join(block(lambda e: ladder_sweep(
-            e, distinct_dates=params.ladder_distinct_dates)), KEY, "left")
-    else:
+        out.join(who, KEY, "left").join(counted, KEY, "left")))
+    if "dep_date" not in have:
         out = out.withColumns({"ladder_sweep": F.lit(False),
                                "ladder_sweep_count": F.lit(0).cast("long")})
     return out.select(*[c for c in FEATURE_ORDER if c in out.columns])

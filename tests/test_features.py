@@ -317,3 +317,16 @@ def test_hot_rows_are_combined_before_every_shuffle(spark):
         for line, below in zip(executed, executed[1:]):
             if "Exchange hashpartitioning" in line:
                 assert "HashAggregate" in below
+
+
+def test_three_scans_and_three_event_shuffles(spark, tmp_path):
+    """The plan reads and shuffles the events twice; once more for the written table of agents."""
+    four_cohorts(spark).write.parquet(str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    plan = cohort_features(stored)._jdf.queryExecution().executedPlan().toString().splitlines()
+    kinds = [word for line in plan for word in ("FileScan parquet", "Exchange hashpartitioning")
+             if word in line]
+    # Lines go from the result down to the scans: each scan is under one exchange of its own.
+    assert kinds.count("FileScan parquet") == 2
+    below = [b for a, b in zip(kinds, kinds[1:]) if a == "Exchange hashpartitioning"]
+    assert below.count("FileScan parquet") == 2
