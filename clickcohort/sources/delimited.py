@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort.functions.cleaning import NULL_TOKENS, null_tokens_to_null
+from clickcohort.sources.records import parse_records, read_records
 
 # File names of the two exports.
 BOOKING_GLOBS = ("booking_*.csv", "*entry_clicks*.csv")
@@ -45,8 +46,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
     """Files with one common header; null spellings become null.
 
     Adds ``source_file``. Two equal headers come out as name plus position, as Spark
-    names them. ``multi_line`` accepts line breaks inside quotes, at the price of
-    reading each file in one task; the rows are then dealt to all tasks.
+    names them. ``multi_line`` accepts line breaks inside quotes; files are still read in
+    pieces (records.py), at the price of reading the text twice.
     """
     frame = (
         spark.read.option("header", True).option("inferSchema", False)
@@ -54,11 +55,14 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool =
         .csv(paths)
     )
     names = frame.columns
-    cells = [null_tokens_to_null(_raw(frame, name), null_tokens).alias(name) for name in names]
-    frame = frame.select(*cells, F.col("_metadata.file_path").alias("source_file"))
     if multi_line:
-        frame = frame.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return frame
+        listed = [paths] if isinstance(paths, str) else list(paths)
+        frame = parse_records(read_records(spark, listed), names)
+    else:
+        frame = frame.select(*[_raw(frame, n) for n in names],
+                             F.col("_metadata.file_path").alias("source_file"))
+    return frame.select(*[null_tokens_to_null(_raw(frame, n), null_tokens).alias(n)
+                          for n in names], "source_file")
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
