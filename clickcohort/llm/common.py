@@ -32,6 +32,13 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Hand texts to Python by bytes, not by 10,000 rows, whatever their length."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > size:
+        spark.conf.set(name, str(size))
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new path under the shared checkpoint folder; it is not created."""
     ensure_checkpoint_dir(spark)

@@ -123,21 +123,20 @@ def _edge(bins: DataFrame, label: str, wanted: DataFrame) -> DataFrame:
                     (F.col("rest") - F.col("before")).alias("rest")))
 
 
-def _sized(docs: DataFrame, member: Column, seed: str) -> DataFrame:
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.withColumns({
-        "_pattern": F.array_sort(F.array_distinct(member)),
+        "_pattern": F.array_sort(F.array_distinct("_member")),
         "_size": word_count(F.col("text")), "_order": F.md5(key)})
     return rows.withColumns({"_bin1": F.substring("_order", 1, _BIN),
                              "_bin2": F.substring("_order", 1 + _BIN, _BIN)})
 
 
-def _taken(docs: DataFrame, weights: Sequence[int], repeats: int, sources: Column | None,
-           seed: str) -> DataFrame:
-    """The documents with _size, _source_size, _target and _taken. No text is shuffled."""
+def _taken(docs: DataFrame, weights: Sequence[int], repeats: int, seed: str) -> DataFrame:
+    """Rows of doc_id, text, _member (and _row) with _size, _source_size, _target and _taken.
+    No text is shuffled. Other columns of documents never get here by their names."""
     spark = docs.sparkSession
-    member = F.array("source") if sources is None else sources
-    rows = _sized(docs, member, seed)
+    rows = _sized(docs, seed)
     sums = stored(rows.groupBy("_pattern", "_bin1").agg(F.sum("_size").alias("words")),
                   "mix-sums")
     capacity = {tuple(r["_pattern"]): int(r["words"]) for r in
@@ -185,7 +184,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = REPE
     target are those of the first of them; a document of no source (an empty array) gives
     nothing and has neither.
     """
-    return _taken(docs, weights, repeats, sources, seed).select(
+    member = F.array("source") if sources is None else sources
+    rows = docs.select("doc_id", "text", member.alias("_member"))
+    return _taken(rows, weights, repeats, seed).select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"), F.col("_taken").cast("long").alias("taken"))
 
@@ -193,9 +194,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = REPE
 def mixed_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = REPEATS,
                  seed: str = _SEED) -> DataFrame:
     """The documents, all columns, each as often as the mix takes it (half a copy rounds up)."""
-    columns = docs.columns
     copies = F.floor(F.col("_taken") / F.col("_size") + 0.5).cast("int")
-    chosen = _taken(docs, weights, repeats, None, seed).where(
-        (F.col("_size") > 0) & (copies > 0))
-    return chosen.select(*columns, F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select(
-        *columns)
+    # The rows travel as one column, so their names cannot meet those used here.
+    rows = docs.select("doc_id", "text", F.array("source").alias("_member"),
+                       F.struct(*docs.columns).alias("_row"))
+    chosen = _taken(rows, weights, repeats, seed).where((F.col("_size") > 0) & (copies > 0))
+    return chosen.select("_row", F.explode(F.sequence(F.lit(1), copies))).select("_row.*")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickcohort.llm.common import small, stored
+from clickcohort.llm.common import bounded_batches, small, stored
 from clickcohort.llm.shingles import runs, texts_of, word_hashes
 
 UNIT = 1024
@@ -216,22 +216,26 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _keeper(model: Model | None, names: list[str]):
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+def _passes(model: Model | None):
+    def passes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
             # A few rows at a time, so that a worker holds little besides the batch itself.
-            for at in range(0, len(batch), _ROWS):
-                part = batch.slice(at, _ROWS)
-                texts = part.column(names.index("text")).to_pylist()
-                good = [s >= 0.5 for run in runs(texts)
-                        for s in (np.full(len(run), 0.5) if model is None
-                                  else model.score(statistics(run)))]
-                yield part.filter(pa.array(good, pa.bool_()))
-    return keep
+            good = [s >= 0.5 for at in range(0, len(texts), _ROWS)
+                    for run in runs(texts_of(texts.slice(at, _ROWS)))
+                    for s in (np.full(len(run), 0.5) if model is None
+                              else model.score(statistics(run)))]
+            pa.default_memory_pool().release_unused()
+            yield pa.array(good, pa.bool_())
+    passes.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(passes, "boolean")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, all columns, that the classifier does not reject."""
+    """The documents, all columns, that the classifier does not reject.
+
+    Only texts go to Python and only a flag comes back; rows stay where they are.
+    """
+    bounded_batches(docs.sparkSession)
     known = labels.select("doc_id").distinct()
     model = trained(measured(docs.join(small(known), "doc_id", "left_semi")), labels)
-    return docs.mapInArrow(_keeper(model, docs.columns), docs.schema)
+    return docs.where(_passes(model)(F.col("text")))

@@ -61,8 +61,7 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS).select(
-        "doc_id", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
-        F.lit("bytes").alias("law"), "shard", "slot",
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -25,7 +25,6 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickcohort.llm.common import stored
@@ -56,12 +55,13 @@ def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
             np.array([s for _, s in points], dtype=np.int32))
 
 
-def _arc(points: np.ndarray):
-    @F.pandas_udf("int")
-    def arc(position: pd.Series) -> pd.Series:
-        found = np.searchsorted(points, position.to_numpy(), side="left") % len(points)
-        return pd.Series(found.astype(np.int32))
-    return arc
+def _arc(position: Column, points: np.ndarray) -> Column:
+    """Number of points before the position, by binary search over a literal array."""
+    edges = F.split(F.lit(",".join(map(str, points.tolist()))), ",").cast("array<bigint>")
+    steps = [1 << bit for bit in range(len(points).bit_length() - 1, -1, -1)]
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.get(edges, at + step - 1) < position, F.lit(False)), at + step).otherwise(at))
+    return found % len(points)
 
 
 def _located(docs: DataFrame, points: np.ndarray, overhead: int) -> DataFrame:
@@ -70,7 +70,7 @@ def _located(docs: DataFrame, points: np.ndarray, overhead: int) -> DataFrame:
     return (docs.withColumn("_size", size)
             .withColumn("_crc", text_crc(F.col("text")))
             .withColumn("_at", F.xxhash64(F.lit(_SEED), F.col("doc_id")))
-            .withColumn("_arc", _arc(points)(F.col("_at")))
+            .withColumn("_arc", _arc(F.col("_at"), points))
             .withColumn("_class", F.floor(F.log2(F.greatest("_size", F.lit(1))) / 2).cast("int")))
 
 
@@ -119,10 +119,13 @@ def _placed(located: DataFrame, segments: DataFrame) -> DataFrame:
 
 def assign(docs: DataFrame, shards: int, vnodes: int = VNODES, slack: float = SLACK,
            overhead: int = OVERHEAD) -> DataFrame:
-    """The rows with shard and slot; _size and _crc stay for digests."""
+    """The rows with size, text_crc32, shard and slot, which replace columns of these names; all
+    other columns are kept, whatever they are called."""
     spark = docs.sparkSession
     points, owner = ring(shards, vnodes)
-    docs = docs.drop("shard", "slot", "_size", "_crc", "_at", "_arc", "_class", "_shard")
+    kept = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    # The rows travel as one column, so their names cannot meet those used here.
+    docs = docs.select("doc_id", "text", F.struct(*kept).alias("_row"))
     narrow = stored(_located(docs.select("doc_id", "text"), points, overhead).drop("text"),
                     "ring-rows")
     loads = {(r["_class"], r["_arc"]): int(r["load"]) for r in
@@ -161,5 +164,5 @@ def assign(docs: DataFrame, shards: int, vnodes: int = VNODES, slack: float = SL
     whole = settled(_placed(_located(docs, points, overhead), segments))
     return (whole.withColumn("_in", F.row_number().over(inside) - 1)
             .join(F.broadcast(firsts), ["shard", "_class", "_arc"])
-            .select(*docs.columns, "_size", "_crc", "shard",
-                    (F.col("_first") + F.col("_in")).alias("slot")))
+            .select("_row.*", F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
+                    "shard", (F.col("_first") + F.col("_in")).alias("slot")))

@@ -21,3 +21,19 @@ def documents(spark, rows=None):
 
 def empty(spark):
     return documents(spark, [])
+
+
+#: Names that operators use for columns of their own.
+TAKEN_NAMES = (
+    "times", "rest", "left", "edge1", "edge2", "bin", "words", "before", "_first", "_rank", "_end",
+    "_size", "_crc", "_at", "_arc", "_class", "_shard", "_in", "_row", "_member", "_pattern",
+    "_order", "_bin1", "_bin2", "_copy", "_taken", "_target", "_source_size", "_moved", "_cuts",
+    "_owners", "label", "x", "score", "count")
+
+
+def clashing(spark):
+    """Documents with a column of every such name; each row has values of its own."""
+    rows = [(i, f"word{i} " * (i % 7), "ab"[i % 2], *(f"{name}-{i}" for name in TAKEN_NAMES))
+            for i in range(30)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(
+        f"`{name}` string" for name in TAKEN_NAMES))

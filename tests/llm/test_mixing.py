@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickcohort.llm import mixing
-from cases import documents, empty
+from cases import clashing, documents, empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +86,13 @@ def test_odd_documents(spark):
     assert copies.where("coalesce(trim(text), '') = ''").count() == 0
     assert mixing.mix(empty(spark)).count() == 0
     assert mixing.mixed_copies(empty(spark)).count() == 0
+
+
+def test_names_of_other_columns_do_not_matter(spark):
+    docs = clashing(spark)
+    out = mixing.mixed_copies(docs, weights=(1,), repeats=3)
+    assert out.columns == docs.columns
+    known = {tuple(r) for r in docs.collect()}
+    rows = [tuple(r) for r in out.collect()]
+    assert rows and set(rows) <= known
+    assert mixing.mix(docs).count() == docs.count()

@@ -2,15 +2,16 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickcohort.llm import ring
-from cases import documents, empty
+from cases import clashing, documents, empty
 
 
 def check(rows, docs, shards):
     texts = sorted(((r[0] or 0), len((r[1] or "").encode()) + 16,
                     zlib.crc32((r[1] or "").encode())) for r in docs)
-    assert sorted(((r["doc_id"] or 0), r["_size"], r["_crc"]) for r in rows) == texts
+    assert sorted(((r["doc_id"] or 0), r["size"], r["text_crc32"]) for r in rows) == texts
     for s in {r["shard"] for r in rows}:
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(
             range(sum(r["shard"] == s for r in rows)))
@@ -22,7 +23,7 @@ def test_loads_are_even(spark):
     docs = documents(spark, rows)
     out = ring.assign(docs, 10).collect()
     check(out, rows, 10)
-    load = np.bincount([r["shard"] for r in out], [r["_size"] for r in out], minlength=10)
+    load = np.bincount([r["shard"] for r in out], [r["size"] for r in out], minlength=10)
     assert load.max() / load.mean() < 1.01 and load.min() / load.mean() > 0.98
     again = {(r["doc_id"], r["shard"], r["slot"]) for r in
              ring.assign(docs.repartition(9), 10).collect()}
@@ -46,7 +47,7 @@ def test_shares_go_clockwise():
 def test_odd_documents(spark):
     docs = documents(spark)
     out = ring.assign(docs, 4)
-    assert set(out.columns) == {*docs.columns, "shard", "slot", "_size", "_crc"}
+    assert set(out.columns) == {*docs.columns, "shard", "slot", "size", "text_crc32"}
     check(out.collect(), docs.select("doc_id", "text").collect(), 4)
     assert ring.assign(empty(spark), 4).count() == 0
 
@@ -55,5 +56,19 @@ def test_hot_key(spark):
     rows = [(7, "same text", "a")] * 500 + [(i, "other", "a") for i in range(100, 1100)]
     out = ring.assign(documents(spark, rows), 5).collect()
     check(out, rows, 5)
-    load = np.bincount([r["shard"] for r in out], [r["_size"] for r in out])
+    load = np.bincount([r["shard"] for r in out], [r["size"] for r in out])
     assert load.max() / load.mean() == pytest.approx(1, abs=0.05)
+
+
+def test_names_of_other_columns_do_not_matter(spark):
+    docs = clashing(spark)
+    out = ring.assign(docs, 4).select(*docs.columns).collect()
+    assert sorted(map(tuple, out)) == sorted(map(tuple, docs.collect()))
+
+
+def test_arcs_are_those_of_a_search(spark):
+    points, _ = ring.ring(7, 13)
+    near = [int(p) + d for p in points for d in (-1, 0, 1)] + [-2 ** 63, 2 ** 63 - 1]
+    frame = spark.createDataFrame([(p,) for p in near], "at bigint")
+    found = [r[0] for r in frame.select(ring._arc(F.col("at"), points)).collect()]
+    assert found == (np.searchsorted(points, np.array(near), side="left") % len(points)).tolist()
