@@ -36,10 +36,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with size, text_crc32, law, shard and slot."""
-    return ring.assign(docs, SHARDS).select(
+    placed = ring.assign(docs, SHARDS)
+    return placed.withColumn("law", F.lit("bytes")).select(
         *[c for c in docs.columns if c not in ("size", "text_crc32", "law", "shard", "slot")],
-        F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
-        F.lit("bytes").alias("law"), "shard", "slot")
+        "size", "text_crc32", "law", "shard", "slot")
 
 
 STAGES = [
