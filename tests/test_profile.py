@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickcohort.operators import profile
+from clickcohort.operators import profile, quantiles
 from clickcohort.operators.quantiles import exact_quantiles
 from clickcohort.operators.tallies import KEY
 
@@ -157,3 +157,28 @@ def test_correlation_names_every_pair(spark):
               for r in profile.correlation_matrix(frame).collect()}
     assert len(matrix) == 9
     assert matrix["a", "b"] == pytest.approx(1.0) and matrix["a", "c"] is None
+
+
+def test_quantiles_read_the_rows_twice(spark, monkeypatch):
+    """Brackets from the sketch; also where they miss, the results are exact."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(value):
+        read.add(1)
+        return value
+    n = 3000
+    monkeypatch.setattr(quantiles, "SHORT", 100)
+    rng = np.random.default_rng(2)
+    values = np.round(rng.normal(0, 50, n), 1)
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3).select(
+        seen("v").alias("v"))
+    probs = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    found = quantiles.exact_quantiles(frame, ["v"], probs)["v"]
+    assert found == pytest.approx(np.quantile(values, probs).tolist(), abs=1e-9)
+    assert read.value == 2 * n
+    monkeypatch.setattr(quantiles, "ACCURACY", 1_000_000_000)   # brackets too narrow to hold ranks
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda c, p, a: F.array(
+        *[F.lit(0.05)] * len(p)))
+    found = quantiles.exact_quantiles(frame, ["v"], probs)["v"]
+    assert found == pytest.approx(np.quantile(values, probs).tolist(), abs=1e-9)
