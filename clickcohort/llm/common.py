@@ -33,9 +33,13 @@ def word_count(text: Column) -> Column:
 
 
 def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
-    """Hand texts to Python by bytes, not by 10,000 rows, whatever their length."""
+    """Hand texts to Python by bytes, not by 10,000 rows, whatever their length.
+
+    A limit that was set with a unit, such as 64m, is left as it is.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name).rstrip("b")) > size:
+    known = spark.conf.get(name).rstrip("bB")
+    if known.isdigit() and int(known) > size:
         spark.conf.set(name, str(size))
 
 
