@@ -43,6 +43,21 @@ def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
         spark.conf.set(name, str(size))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits that name a row by its doc_id and text; null and empty texts have one name."""
+    owner = F.coalesce(F.concat(F.lit("+"), doc_id.cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(F.length(owner).cast("string"), F.lit(":"), owner,
+                                  F.coalesce(text, F.lit("")))))
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of the frame has it."""
+    known = {c.lower() for c in frame.columns}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new path under the shared checkpoint folder; it is not created."""
     ensure_checkpoint_dir(spark)

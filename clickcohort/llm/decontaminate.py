@@ -18,8 +18,8 @@ document only the best goes on, however common the item is.
 
 Null and empty texts hold no words and leak nothing. Items of equal words count as the one
 with the smallest item_id. Rows that repeat give one result row for each pair of doc_id and
-item; a null doc_id is kept as it is. Only id and text columns are read. Long texts are
-cut into overlapping pieces before positions are laid out, so no row grows with the square
+item; a null doc_id is kept as it is. Only id and text columns are read, and columns of any
+other name are kept; rows are known by 128 bits of doc_id and text. Long texts are cut into overlapping pieces before positions are laid out, so no row grows with the square
 of a text.
 """
 
@@ -30,7 +30,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickcohort.llm.common import small, stored, words
+from clickcohort.llm.common import row_key, small, stored, unused, words
 
 #: Set positions of each mask; positions in between are ignored.
 MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 4, 5), (0, 3, 5, 6, 7), (0, 1, 2, 3, 6))
@@ -38,11 +38,6 @@ SPAN = 1 + max(mask[-1] for mask in MASKS)
 _PIECE = 1024
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """One number per document row; equal rows, which leak alike, share it."""
-    return F.xxhash64(doc_id, text)
-
-
 def tokens(text: Column) -> Column:
     return words(F.lower(text))
 
@@ -98,9 +93,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 13,
                   similarity: float = 0.8, short_items: bool = False) -> DataFrame:
     """The documents, all columns, that no benchmark item leaks into."""
+    name = unused(docs, "leaked")
     leaked = stored(_leaks(docs, benchmark, window, similarity, short_items).select(
-        F.col("row_key").alias("_leaked")).distinct(), "leaked")
-    return docs.join(small(leaked), row_key(docs["doc_id"], docs["text"]) == F.col("_leaked"),
+        "row_key").distinct(), "leaked").withColumnRenamed("row_key", name)
+    return docs.join(small(leaked), row_key(F.col("doc_id"), F.col("text")) == F.col(name),
                      "left_anti")
 
 

@@ -22,7 +22,10 @@ of near copies is not spelled out as pairs.
 Null and blank texts have empty sets, which link with nothing. Documents with fewer words
 than an n-gram have their whole sequence as one. Rows of one doc_id are rows of their own. A
 null doc_id is never the smallest, so a group of null ids only has a null component. Only
-doc_id and text are read; an empty table gives no rows.
+doc_id and text are read, so other columns cannot clash; an empty table gives no rows.
+
+Rows are known by 128 bits of doc_id and text. Sets are known by 64 bits; those whose 64 bits
+another set has too are found by a second 64 and known by these instead.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickcohort.llm.common import small, stored
+from clickcohort.llm.common import row_key, small, stored, unused
 from clickcohort.llm.components import components
 from clickcohort.llm.shingles import U, runs, shingle_sets, texts_of
 
@@ -45,12 +48,18 @@ _BLOCK = 2048
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
+    return docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
+
 
+def _digests(found: np.ndarray) -> tuple[int, int]:
+    """Two independent numbers of a set: its name, and the one used if another has its name."""
+    raw = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+    return (int.from_bytes(raw[:8], "little", signed=True),
+            int.from_bytes(raw[8:], "little", signed=True))
 
-def _class_of(found: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little",
-                          signed=True)
+
+def _class_of(digests: tuple[int, int], doubtful: frozenset[int]) -> int:
+    return digests[1] if digests[0] in doubtful else digests[0]
 
 
 def _sketch(found: np.ndarray) -> bytes:
@@ -65,30 +74,32 @@ def _bucket(found: np.ndarray) -> np.ndarray:
 
 # -- sets, classes and the global order ------------------------------------------------
 
-_SETS = ("doc_id bigint, row_key bigint, n int, class bigint, sketch binary, chunk int, "
-         "counts binary")
+_SETS = ("doc_id bigint, row_key binary, n int, class bigint, second bigint, sketch binary, "
+         "chunk int, counts binary")
 
 
 def _describe(k: int) -> Callable:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n", pa.int32()),
-                            ("class", pa.int64()), ("sketch", pa.binary()),
-                            ("chunk", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.binary()), ("n", pa.int32()),
+                            ("class", pa.int64()), ("second", pa.int64()),
+                            ("sketch", pa.binary()), ("chunk", pa.int32()),
+                            ("counts", pa.binary())])
         total, seen = np.zeros(1 << _BUCKET_BITS, dtype=np.int64), set()
         for batch in batches:
-            n, classes, sketches = [], [], []
+            n, names, sketches = [], [], []
             for run in runs(texts_of(batch.column("text"))):
                 for found in shingle_sets(run, k):
-                    name = _class_of(found) if len(found) else None
+                    name = _digests(found) if len(found) else (None, None)
                     n.append(len(found))
-                    classes.append(name)
+                    names.append(name)
                     sketches.append(_sketch(found) if len(found) else None)
-                    if name is not None and name not in seen:
+                    if len(found) and name not in seen:
                         seen.add(name)
                         np.add.at(total, _bucket(found), 1)
             none = pa.nulls(len(n))
             yield pa.record_batch([batch.column("doc_id"), batch.column("row_key"),
-                                   pa.array(n, pa.int32()), pa.array(classes, pa.int64()),
+                                   pa.array(n, pa.int32()),
+                                   *(pa.array([x[i] for x in names], pa.int64()) for i in (0, 1)),
                                    pa.array(sketches, pa.binary()), none.cast(pa.int32()),
                                    none.cast(pa.binary())], schema=schema)
         table = total.reshape(-1, _CHUNK)
@@ -97,7 +108,7 @@ def _describe(k: int) -> Callable:
             part = kept[at:at + 64]
             none = pa.nulls(len(part))
             yield pa.record_batch(
-                [none.cast(f.type) for f in list(schema)[:5]]
+                [none.cast(f.type) for f in list(schema)[:6]]
                 + [pa.array(part, pa.int32()),
                    pa.array([table[c].tobytes() for c in part], pa.binary())], schema=schema)
     return describe
@@ -146,12 +157,12 @@ _PREFIX = "gram bigint, class bigint, n int, at int"
 
 def _prefixes(k: int, num: int, den: int, shared) -> Callable:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (rank, _), seen = shared.value, set()
+        (rank, _, doubtful), seen = shared.value, set()
         for batch in batches:
             for run in runs(texts_of(batch.column("text"))):
                 grams, classes, sizes = [], [], []
                 for found in shingle_sets(run, k):
-                    name = _class_of(found) if len(found) else None
+                    name = _class_of(_digests(found), doubtful) if len(found) else None
                     if name is None or name in seen:
                         continue
                     seen.add(name)
@@ -289,12 +300,13 @@ _SEGMENT = "class bigint, n int, fragment int, grams binary"
 
 def _segments(k: int, shared) -> Callable:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, cuts = shared.value
+        rank, cuts, doubtful = shared.value
         for batch in batches:
             for run in runs(texts_of(batch.column("text"))):
                 out = []
                 for found in shingle_sets(run, k):
-                    name, grams = _class_of(found), _ordered(found, rank)
+                    name = _class_of(_digests(found), doubtful)
+                    grams = _ordered(found, rank)
                     place = np.searchsorted(
                         cuts, (grams >> U(64 - _BUCKET_BITS)).astype(np.int64), side="right")
                     bounds = np.searchsorted(place, np.arange(len(cuts) + 2))
@@ -359,6 +371,27 @@ def _paired(rows: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
         _pairs(num, den, nearest), "a bigint, b bigint").distinct(), "ngram-pairs")
 
 
+def _classes(sets: DataFrame) -> tuple[DataFrame, DataFrame, frozenset[int]]:
+    """The sets, one row for all sets of a class, and the names that more than one set had.
+
+    Of m sets about m * m / 2**65 share a name: 270 of 10**11.
+    """
+    def gathered(named: DataFrame) -> DataFrame:
+        return stored(named.where("class is not null").groupBy("class").agg(
+            F.min("row_key").alias("row_key"), F.min("doc_id").alias("smallest"),
+            F.first("sketch").alias("sketch"), F.min("second").alias("low"),
+            F.max("second").alias("high")), "ngram-classes")
+    classes = gathered(sets)
+    shared = classes.where("low <> high").select("class")
+    doubtful = frozenset(r["class"] for r in shared.collect())
+    if doubtful:
+        sets = sets.join(small(shared.select("class", F.lit(True).alias("doubtful"))), "class",
+                         "left").withColumn("class", F.when(
+                             F.col("doubtful"), F.col("second")).otherwise(F.col("class")))
+        classes = gathered(sets)
+    return sets, classes, doubtful
+
+
 # -- the join -----------------------------------------------------------------------------------
 
 def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
@@ -371,11 +404,9 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     rows = _keyed(docs)
     described = stored(rows.mapInArrow(_describe(k), _SETS), "ngram-sets")
     sets = described.where("chunk is null")
-    classes = stored(sets.where("class is not null").groupBy("class").agg(
-        F.min("row_key").alias("row_key"), F.min("doc_id").alias("smallest"),
-        F.first("sketch").alias("sketch")), "ngram-classes")
-    rank, cuts = _order(described, fragments)
-    order = spark.sparkContext.broadcast((rank, cuts))  # 2**20 entries, whatever the input
+    sets, classes, doubtful = _classes(sets)
+    # 2**20 entries, whatever the input, and the few names that more than one set had.
+    order = spark.sparkContext.broadcast((*_order(described, fragments), doubtful))
 
     prefixes = docs.select("text").mapInArrow(_prefixes(k, num, den, order), _PREFIX)
     shared = stored(
@@ -425,14 +456,15 @@ def without_near_copies(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     rule = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key")))
     best = groups.groupBy("group").agg(rule.alias("best"))
     kept = best.select(F.col("best.row_key").alias("row_key"))
+    gone_key, again_key = unused(docs, "gone"), unused(docs, "again")
     gone = stored(groups.select("row_key").distinct().join(kept, "row_key", "left_anti"),
-                  "ngram-gone").select(F.col("row_key").alias("_gone"))
-    key = F.xxhash64("doc_id", "text")
-    left = docs.join(small(gone), key == F.col("_gone"), "left_anti")
+                  "ngram-gone").select(F.col("row_key").alias(gone_key))
+    key = row_key(F.col("doc_id"), F.col("text"))
+    left = docs.join(small(gone), key == F.col(gone_key), "left_anti")
     again = stored(groups.groupBy("row_key").count().where("count > 1").join(
-        kept, "row_key", "left_semi").select(F.col("row_key").alias("_again")), "ngram-again")
+        kept, "row_key", "left_semi").select(F.col("row_key").alias(again_key)), "ngram-again")
     if not again.limit(1).count():
         return left
-    repeated = left.join(small(again), key == F.col("_again"), "left_semi")
-    return left.join(small(again), key == F.col("_again"), "left_anti").unionByName(
-        repeated.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key"))
+    repeated = left.join(small(again), key == F.col(again_key), "left_semi")
+    return left.join(small(again), key == F.col(again_key), "left_anti").unionByName(
+        repeated.withColumn(again_key, key).dropDuplicates([again_key]).drop(again_key))

@@ -28,7 +28,9 @@ TAKEN_NAMES = (
     "times", "rest", "left", "edge1", "edge2", "bin", "words", "before", "_first", "_rank", "_end",
     "_size", "_crc", "_at", "_arc", "_class", "_shard", "_in", "_row", "_member", "_pattern",
     "_order", "_bin1", "_bin2", "_copy", "_taken", "_target", "_source_size", "_moved", "_cuts",
-    "_owners", "label", "x", "score", "count")
+    "_owners", "label", "x", "score", "count", "gone", "_gone", "again", "_again", "_key", "leaked",
+    "_leaked", "row_key", "class", "second", "sketch", "group", "component", "component_id", "n",
+    "tokens", "seed", "at", "diagonal", "piece", "item_id", "h", "p", "w", "base")
 
 
 def clashing(spark):

@@ -4,7 +4,7 @@ from itertools import combinations
 import corpus_pipeline
 from clickcohort.llm import decontaminate
 from clickcohort.llm.queries import QUERIES
-from cases import documents, empty
+from cases import clashing, documents, empty
 
 VOCABULARY = [f"w{i}" for i in range(3000)]
 
@@ -78,6 +78,15 @@ def test_odd_tables(spark):
     assert decontaminate.overlaps(empty(spark), benchmark).count() == 0
 
 
+def test_columns_of_any_name_are_kept(spark):
+    docs = clashing(spark)
+    benchmark = spark.createDataFrame([(1, "word6 " * 6), (2, "nothing of this")],
+                                      "item_id bigint, text string")
+    kept = decontaminate.without_leaks(docs, benchmark, short_items=True)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect()) == sorted(docs.where("doc_id <> 6").collect())
+
+
 def test_masks_find_every_change_of_short_passages():
     for length in range(8, 14):
         for bad in combinations(range(length), length // 5):

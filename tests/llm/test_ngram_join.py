@@ -7,7 +7,7 @@ import pytest
 import clickcohort.llm.ngram_join as ngram_join
 from clickcohort.llm.components import components
 from clickcohort.llm.shingles import shingle_sets, word_hashes
-from cases import documents, empty
+from cases import clashing, documents, empty
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -91,6 +91,28 @@ def test_odd_documents(spark):
     assert ngram_join.without_near_copies(empty(spark)).count() == 0
 
 
+def test_sets_that_share_a_name_stay_apart(spark, monkeypatch):
+    whole = ngram_join._digests
+    monkeypatch.setattr(ngram_join, "_digests", lambda found: (
+        whole(found)[0] % 5, whole(found)[1]))
+    rows = corpus(11)
+    out = ngram_join.near_groups(documents(spark, rows), 3, 9, 10).select(
+        "doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, out), key=key) == sorted(brute(rows, 3, 9, 10), key=key)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = clashing(spark)
+    docs = docs.unionByName(docs.where("doc_id = 9"))
+    kept = ngram_join.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    # Texts of 0, 1 and 2 words repeated up to 6 times: one set only where the words are equal.
+    found = kept.collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(30))
+    assert all(r == rows[r["doc_id"]] for r in found)
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 100), (70, 90), (90, 80), (None, 3)] + [
