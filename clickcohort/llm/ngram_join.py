@@ -17,7 +17,8 @@ any size is spread. First every class is paired with its nearest partner in each
 pairs are counted and joined to components. As long as that joins any, every class is then
 paired with its nearest partner in another component. What is left is looked through for all
 pairs across components, so no link between components is lost, and a group of thousands
-of near copies is not spelled out as pairs.
+of near copies is not spelled out as pairs. A pair is counted once: pairs that did not link are
+left out of later rounds, and only sets that a round asks for are moved in it.
 
 Null and blank texts have empty sets, which link with nothing. Documents with fewer words
 than an n-gram have their whole sequence as one. Rows of one doc_id are rows of their own. A
@@ -335,6 +336,8 @@ def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _verified(pairs: DataFrame, segments: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose overlaps, summed over fragments, reach the similarity."""
+    asked = small(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
+    segments = segments.join(asked, "class", "left_semi")
     first = segments.select(F.col("class").alias("a"), "n", "fragment", "grams")
     second = segments.select(F.col("class").alias("b"), F.col("n").alias("m"), "fragment",
                              F.col("grams").alias("others"))
@@ -366,9 +369,14 @@ def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
     return stored(shared.join(mixed, "gram", "left_semi").join(known, "class"), "ngram-open")
 
 
-def _paired(rows: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
-    return stored(_blocks(rows).mapInArrow(
-        _pairs(num, den, nearest), "a bigint, b bigint").distinct(), "ngram-pairs")
+def _paired(rows: DataFrame, num: int, den: int, nearest: bool,
+            tried: DataFrame | None = None) -> DataFrame:
+    """Pairs to count; those tried before did not link, as their components differ."""
+    found = _blocks(rows).mapInArrow(
+        _pairs(num, den, nearest), "a bigint, b bigint").distinct()
+    if tried is not None:
+        found = found.join(small(tried), ["a", "b"], "left_anti")
+    return stored(found, "ngram-pairs")
 
 
 def _classes(sets: DataFrame) -> tuple[DataFrame, DataFrame, frozenset[int]]:
@@ -422,8 +430,11 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     segments = stored(texts.select("text").mapInArrow(_segments(k, order), _SEGMENT)
                       .dropDuplicates(["class", "fragment"]), "ngram-segments")
 
+    # A class that met no partner in any run links with nothing, so its rows are done with.
+    shared = stored(shared.join(small(chosen.select("class")), "class", "left_semi"),
+                    "ngram-kept")
     known = chosen.select("class", "sketch", F.col("class").alias("component"))
-    nearest = True
+    nearest, tried = True, close
     while True:
         links = stored(_verified(close, segments, num, den), "ngram-links")
         found = bool(links.limit(1).count())
@@ -432,7 +443,8 @@ def near_groups(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
         if not nearest:  # all pairs across the components have been looked at
             break
         nearest = found
-        close = _paired(_open(shared, known), num, den, nearest)
+        close = _paired(_open(shared, known), num, den, nearest, tried)
+        tried = tried.union(close)
 
     rooted = classes.select("class", "smallest").join(
         known.select("class", "component"), "class", "left").select(
