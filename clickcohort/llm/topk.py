@@ -16,16 +16,23 @@ many. The bounds get a slack for rounding; the scores themselves are exact.
 Pivots are centres of a sample of at most `sample` vectors, the first by a hash of the id
 (a bounded sample only shapes the index; every vector is indexed and results are exact).
 
+Vectors so long (|x| of 2**31 or more after scaling) that scores may not fit 64 bits stay out of
+the index: as candidates they are compared with all queries, as queries with all rows, in blocks
+and in Python's whole numbers. They are ranked by their exact scores; a score beyond 64 bits is
+given as the nearest number of 64 bits. Where there are none, nothing is done for them.
+
 Vectors that are null or hold a null, NaN or infinite component take no part, nor do rows
-without an id and vectors so long (|x| of 2**31 or more after scaling) that scores would not
-fit 64 bits. Shorter vectors are read as if they ended in zeros. Equal scores are ranked by
+without an id. Shorter vectors are read as if they ended in zeros. Equal scores are ranked by
 id. Rows of one id are one entry, which has the best of their scores. An id never finds
 itself. With fewer than k other entries all are listed. Without vectors there are no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import math
+import operator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +45,14 @@ _BLOCK, _QUERIES = 2048, 256
 _LIMIT = 2.0 ** 62
 
 
-def scaled(frame: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """vec_id and v (whole numbers) of the rows that take part."""
+def entries(frame: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
+    """vec_id, x (as given) and v (whole numbers, at most 64 bits) of the rows that take part."""
     finite = F.forall(vector, lambda x: F.coalesce(
         ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = frame.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite).select(
         F.col(key).cast("bigint").alias("vec_id"),
-        F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
-    return rows.where(_squared("v") < _LIMIT)
+        F.transform(vector, lambda x: x.cast("double")).alias("x"))
+    return rows.withColumn("v", F.transform("x", lambda x: F.floor(x * scale)))
 
 
 def _squared(name: str) -> Column:
@@ -88,12 +95,18 @@ def choose_pivots(sample: np.ndarray, count: int, rounds: int = 8) -> np.ndarray
 
 
 class _Space:
-    """What every task needs to place vectors: width, largest squared length, pivots."""
+    """What every task needs to place vectors: width, largest squared length, pivots.
+
+    long is the number of vectors that stay out of the index.
+    """
 
-    def __init__(self, vectors: DataFrame, pivots: int, sample: int):
-        facts = vectors.agg(F.max(F.size("v")), F.max(_squared("v"))).first()
+    def __init__(self, every: DataFrame, pivots: int, sample: int):
+        square, short = _squared("v"), _squared("v") < _LIMIT
+        facts = every.agg(F.max(F.when(short, F.size("v"))), F.max(F.when(short, square)),
+                          F.count_if(~short)).first()
         self.width, self.most = int(facts[0] or 0), float(facts[1] or 0.0)
-        rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).collect()
+        self.long = facts[2]
+        rows = every.where(short).select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).collect()
         dense = np.zeros((len(rows), self.width), dtype=np.int64)
         for i, row in enumerate(rows):
             dense[i, :len(row["v"])] = row["v"]
@@ -252,8 +265,9 @@ def top_k(frame: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
 
     is_query: a condition on vec_id.
     """
-    vectors = scaled(frame, key, vector, scale)
-    space = _Space(vectors, pivots, sample)
+    every = entries(frame, key, vector, scale)
+    space = _Space(every, pivots, sample)
+    vectors = every.where(_squared("v") < _LIMIT).select("vec_id", "v")
     data = _blocks(space.keyed(vectors, query=False), _BLOCK, "pivot-index")
     asked = _blocks(space.keyed(vectors.where(is_query), query=True), _QUERIES, "pivot-queries")
     asked = asked.select(F.col("block").alias("q_block"), F.col("pivot").alias("q_pivot"),
@@ -284,8 +298,10 @@ def top_k(frame: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
         "q_block", "block", "q_reach")
     found = todo.join(data, "block").join(asked.select(*wide), "q_block").mapInArrow(
         _compare(space, k, bounded=True), _FOUND)
-    return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"),
-                                    "vec_id", "score")
+    best = _ranked(found, k)
+    if space.long:
+        best = _with_long(best, every, is_query, k, scale)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,3 +311,85 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = np.frombuffer(ids, dtype=np.int64)
             yield pa.record_batch([pa.array([block] * len(names)), pa.array(names)],
                                   names=["q_block", "query_id"])
+
+
+# -- vectors whose scores may not fit 64 bits ---------------------------------------------
+
+_EXACT = "query_id bigint, vec_id bigint, score bigint, place string"
+_DIGITS = "0123456789"
+
+
+def _whole(x: list[float], scale: int) -> list[int]:
+    return [math.floor(c * scale) if math.isfinite(c * scale) else int(c) * scale for c in x]
+
+
+def _place(score: int) -> str:
+    """A text that sorts like the number: sign, number of digits, digits."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}{digits.translate(str.maketrans(_DIGITS, _DIGITS[::-1]))}"
+
+
+def _place_of(score: Column) -> Column:
+    digits = F.abs(score).cast("string")
+    size = F.length(digits)
+    return F.when(score >= 0, F.concat(
+        F.lit("1"), F.lpad(size.cast("string"), 4, "0"), digits)).otherwise(F.concat(
+            F.lit("0"), F.lpad((9999 - size).cast("string"), 4, "0"),
+            F.translate(digits, _DIGITS, _DIGITS[::-1])))
+
+
+def _dealt(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
+    """Different rows in numbered blocks of about `size`, and the number of blocks."""
+    rows = stored(rows.select("vec_id", "x").dropDuplicates(), "pivot-long")
+    blocks = max(1, -(-rows.count() // size))
+    number = F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).cast("int")
+    return rows.groupBy(number.alias(name)).agg(
+        F.collect_list(F.struct("vec_id", "x")).alias(f"{name}_rows")), blocks
+
+
+def _compare_exactly(k: int, scale: int) -> Callable:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.select(["asked_rows", "held_rows"]).to_pylist():
+                held = [(r["vec_id"], _whole(r["x"], scale)) for r in row["held_rows"]]
+                out = []
+                for r in row["asked_rows"]:
+                    q, best = _whole(r["x"], scale), {}
+                    for name, v in held:
+                        if name != r["vec_id"]:
+                            score = sum(map(operator.mul, q, v))
+                            best[name] = max(best.get(name, score), score)
+                    out += [(r["vec_id"], name, max(-2 ** 63, min(2 ** 63 - 1, score)),
+                             _place(score)) for name, score in heapq.nsmallest(
+                                 k, best.items(), key=lambda e: (-e[1], e[0]))]
+                yield pa.record_batch(
+                    [pa.array(c, t) for c, t in zip(
+                        zip(*out) if out else [[]] * 4,
+                        (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
+                    names=["query_id", "vec_id", "score", "place"])
+    return compare
+
+
+def _exact(queries: DataFrame, candidates: DataFrame, k: int, scale: int) -> DataFrame:
+    """The k best candidates of each query in each block, all queries against all candidates."""
+    asked, blocks = _dealt(queries, _QUERIES, "asked")
+    held, _ = _dealt(candidates, _BLOCK, "held")
+    each = held.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return each.join(asked, "asked").mapInArrow(_compare_exactly(k, scale), _EXACT)
+
+
+def _with_long(best: DataFrame, every: DataFrame, is_query: Column, k: int,
+               scale: int) -> DataFrame:
+    """The k best of each query once long vectors take part."""
+    is_long = _squared("v") >= _LIMIT
+    long, short = every.where(is_long), every.where(~is_long)
+    found = best.select("query_id", "vec_id", "score",
+                        _place_of(F.col("score")).alias("place")).unionByName(
+        _exact(every.where(is_query), long, k, scale)).unionByName(
+        _exact(long.where(is_query), short, k, scale))
+    one = found.groupBy("query_id", "vec_id").agg(
+        F.max("score").alias("score"), F.max("place").alias("place"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
+    return one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

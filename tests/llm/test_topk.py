@@ -62,3 +62,29 @@ def test_large_numbers_stay_exact(spark):
     rng = np.random.default_rng(9)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 1e5, 4)]) for i in range(60)]
     assert found(spark, rows) == brute(rows, 10, 10)
+
+
+def test_long_vectors_take_part(spark, monkeypatch):
+    monkeypatch.setattr(topk, "_QUERIES", 4)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 1e3, 4)]) for i in range(40)]
+    rows += [(100 + i, [float(np.float32(x)) for x in rng.normal(0, size, 4)])
+             for i, size in enumerate([3e6, 3e6, 3e6, 1e12, 1e12, 1e30, 1e30, 3e37, 3e37, 3e37])]
+    rows += [(110, [3e6, -3e6]), (110, [1.0, 2.0]), (110, [3e6, -3e6]), (120, [-1e38] * 3),
+             (7, [1e20]), (130, [float("inf"), 1e30])]
+    expected = [(q, rank, i, max(-2 ** 63, min(2 ** 63 - 1, score)))
+                for q, rank, i, score in brute(rows, 10, 10)]
+    assert found(spark, rows) == expected
+    only = rows[-6:]
+    assert found(spark, only) == [(q, rank, i, max(-2 ** 63, min(2 ** 63 - 1, score)))
+                                  for q, rank, i, score in brute(only, 10, 10)]
+
+
+def test_places_sort_like_numbers(spark):
+    numbers = [0, 1, -1, 9, 10, -9, -10, 99, -123, 2 ** 62, -2 ** 62, 123456]
+    frame = spark.createDataFrame([(n,) for n in numbers], "score bigint")
+    found = {r["score"]: r["p"] for r in frame.select(
+        "score", topk._place_of(F.col("score")).alias("p")).collect()}
+    assert found == {n: topk._place(n) for n in numbers}
+    more = numbers + [10 ** 80, -10 ** 80, 10 ** 80 + 1]
+    assert sorted(more, key=topk._place) == sorted(more)
