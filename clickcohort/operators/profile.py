@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickcohort.functions.cleaning import contains_any_word
+from clickcohort.operators.comoments import named_correlations
 from clickcohort.operators.quantiles import exact_quantiles
 from clickcohort.operators.tallies import KEY
 
@@ -167,7 +167,7 @@ def numeric_columns(frame: DataFrame) -> list[str]:
 
 
 def _clean(name: str) -> Column:
-    value = F.col(name).cast("double")
+    value = F.col(f"`{name}`").cast("double")
     return F.when(~F.isnan(value), value)
 
 
@@ -228,38 +228,47 @@ def normalize(frame: DataFrame, method: str = "robust",
     })
 
 
-#: Pairs whose moments are taken in one pass.
-_PAIRS = 300
-
-
-def _pair_correlations(frame: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """One aggregate with the moments of each pair over the rows that have both."""
-    moments = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = _clean(a), _clean(b)
-        both = x.isNotNull() & y.isNotNull()
-        moments += [F.covar_pop(x, y).alias(f"cov{i}"),
-                    F.stddev_pop(F.when(both, x)).alias(f"sa{i}"),
-                    F.stddev_pop(F.when(both, y)).alias(f"sb{i}")]
-    rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                     F.try_divide(F.col(f"cov{i}"), F.col(f"sa{i}") * F.col(f"sb{i}"))
-                     .alias("correlation")) for i, (a, b) in enumerate(pairs)]
-    return frame.agg(*moments).select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+#: Up to so many columns one aggregate is the faster way (16 columns of 600,000 rows: masked
+#: products 3 s; 8 columns: 2.4 s against 13 s). Both read the rows once.
+_FEW_COLUMNS = 4
+
+
+def _correlations(frame: DataFrame, columns: Sequence[str], both_ways: bool) -> DataFrame:
+    """Pairs in column order, or the whole matrix, over the rows that have both values."""
+    if len(columns) > _FEW_COLUMNS:
+        return named_correlations(frame, columns, both_ways)
+    moments, rows = [], []
+    for i, a in enumerate(columns):
+        if both_ways:
+            moments.append(F.stddev_pop(_clean(a)).alias(f"s{i}"))
+            rows.append((a, a, F.when(F.col(f"s{i}") > 0, F.lit(1.0))))
+        for j, b in list(enumerate(columns))[i + 1:]:
+            x, y = _clean(a), _clean(b)
+            both = x.isNotNull() & y.isNotNull()
+            moments += [F.covar_pop(x, y).alias(f"cov{i}_{j}"),
+                        F.stddev_pop(F.when(both, x)).alias(f"a{i}_{j}"),
+                        F.stddev_pop(F.when(both, y)).alias(f"b{i}_{j}")]
+            value = F.try_divide(F.col(f"cov{i}_{j}"), F.col(f"a{i}_{j}") * F.col(f"b{i}_{j}"))
+            rows += [(a, b, value), (b, a, value)] if both_ways else [(a, b, value)]
+    return frame.agg(*moments).select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                 value.alias("correlation")) for a, b, value in rows
+    ])).alias("_r")).select("_r.*")
 
 
 def correlation_pairs(frame: DataFrame, columns: Sequence[str] | None = None,
                       threshold: float | None = None) -> DataFrame:
-    """Pearson correlation of each pair of columns over rows that have both.
+    """Pearson correlation of each pair of columns over rows that have both, in one scan.
 
     (column_a, column_b, correlation); null for a constant column or no common row. With a threshold
     only pairs whose absolute correlation exceeds it, as absolute value.
     """
     columns = list(columns or numeric_columns(frame))
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    parts = [_pair_correlations(frame, pairs[at:at + _PAIRS])
-             for at in range(0, len(pairs), _PAIRS)]
-    out = reduce(DataFrame.unionByName, parts) if parts else frame.sparkSession.createDataFrame(
-        [], "column_a string, column_b string, correlation double")
+    if len(columns) < 2:
+        out = frame.sparkSession.createDataFrame(
+            [], "column_a string, column_b string, correlation double")
+    else:
+        out = _correlations(frame, columns, both_ways=False)
     if threshold is None:
         return out
     return out.withColumn("correlation", F.abs("correlation")).where(
@@ -267,15 +276,6 @@ def correlation_pairs(frame: DataFrame, columns: Sequence[str] | None = None,
 
 
 def correlation_matrix(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The full symmetric matrix in long form, with 1 on the diagonal."""
+    """The full symmetric matrix in long form, with 1 on the diagonal, in one scan."""
     columns = list(columns or numeric_columns(frame))
-    upper = correlation_pairs(frame, columns)
-    lower = upper.select(F.col("column_b").alias("column_a"),
-                         F.col("column_a").alias("column_b"), "correlation")
-    varied = frame.agg(*[F.stddev_pop(_clean(c)).alias(f"s{i}") for i, c in enumerate(columns)])
-    diagonal = varied.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_a"), F.lit(c).alias("column_b"),
-                 F.when(F.col(f"s{i}") > 0, F.lit(1.0)).alias("correlation"))
-        for i, c in enumerate(columns)
-    ])).alias("_r")).select("_r.*")
-    return upper.unionByName(lower).unionByName(diagonal)
+    return _correlations(frame, columns, both_ways=True)

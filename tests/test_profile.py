@@ -182,3 +182,77 @@ def test_quantiles_read_the_rows_twice(spark, monkeypatch):
         *[F.lit(0.05)] * len(p)))
     found = quantiles.exact_quantiles(frame, ["v"], probs)["v"]
     assert found == pytest.approx(np.quantile(values, probs).tolist(), abs=1e-9)
+
+
+def _pairwise(values):
+    """Correlations by numpy over the rows that hold both, pair by pair."""
+    wide = values.shape[1]
+    out = np.full((wide, wide), np.nan)
+    for i in range(wide):
+        for j in range(wide):
+            both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+            x, y = values[both, i], values[both, j]
+            if len(x) and np.ptp(x) > 0 and np.ptp(y) > 0:
+                out[i, j] = np.corrcoef(x, y)[0, 1]
+    return out
+
+
+def test_correlation_of_many_columns_reads_once(spark):
+    """40 columns, 780 pairs: gaps, far means, parts of unequal level; one scan."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(value):
+        read.add(1)
+        return value
+    rng = np.random.default_rng(3)
+    n, wide = 600, 40
+    values = rng.normal(0, 1, (n, wide)) + rng.normal(0, 1, (n, 1))
+    values[:, 1] += 1e8                                   # mean far above the spread
+    values[: n // 2, 2] += 50                             # partitions of different level
+    values[rng.random((n, wide)) < 0.2] = np.nan
+    values[::3, 9] = values[::3, 8] = np.nan   # 7 is near 0 for 9, 8 half constant
+    values[: n // 2, 4], values[n // 2:, 5] = np.nan, np.nan   # no common row
+    values[:, 6] = 0.1
+    values[::3, 7], values[1::3, 7], values[1::3, 8] = 1e9, np.round(values[1::3, 7], 3), 0.3
+    names = [f"v{i}" for i in range(wide)]
+    frame = spark.createDataFrame(
+        [tuple(None if np.isnan(v) else float(v) for v in row) for row in values],
+        ", ".join(f"{c} double" for c in names)).repartitionByRange(5, "v0")
+    frame = frame.withColumn("v0", seen("v0"))
+    expected = _pairwise(values)
+    rows = profile.correlation_matrix(frame, names).collect()
+    assert read.value == n
+    assert len(rows) == wide * wide
+    for r in rows:
+        want = expected[names.index(r["column_a"]), names.index(r["column_b"])]
+        if np.isnan(want):
+            assert r["correlation"] is None, r
+        else:
+            assert r["correlation"] == pytest.approx(want, abs=1e-6), r
+
+
+@pytest.mark.parametrize("few", [0, 10])
+def test_correlation_in_both_forms(spark, monkeypatch, few):
+    """One aggregate or masked products: the same results, on odd inputs too."""
+    from clickcohort.operators import comoments
+
+    rng = np.random.default_rng(5)
+    values = rng.normal(5, 2, (200, 3))
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in values],
+                                  "`x.y` double, b double, part double").repartition(7)
+    monkeypatch.setattr(comoments, "GROUPS", 2)
+    monkeypatch.setattr(profile, "_FEW_COLUMNS", few)
+    found = {(r["column_a"], r["column_b"]): r["correlation"]
+             for r in profile.correlation_pairs(frame).collect()}
+    assert found["x.y", "part"] == pytest.approx(np.corrcoef(values[:, 0], values[:, 2])[0, 1])
+    empty = profile.correlation_pairs(frame.limit(0)).collect()
+    assert len(empty) == 3 and all(r["correlation"] is None for r in empty)
+    assert profile.correlation_pairs(frame, ["b"]).collect() == []
+    odd = spark.createDataFrame(
+        [(1.0, 2.0, float("inf")), (2.0, 4.0, 1.0), (float("nan"), 1.0, 2.0), (3.0, 6.0, 0.5)],
+        "a double, b double, c double")
+    cells = {(r["column_a"], r["column_b"]): r["correlation"]
+             for r in profile.correlation_pairs(odd).collect()}
+    assert cells["a", "b"] == pytest.approx(1.0)          # an infinite c spoils its own pairs only
+    assert np.isnan(cells["a", "c"])
