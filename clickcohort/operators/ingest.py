@@ -309,40 +309,61 @@ def ingest(raw: DataFrame, date: str | Column | None, addresses: DataFrame | Non
 
 # -- checks and statistics ------------------------------------------------------
 
-def _distinct_total(frame: DataFrame, column: str) -> Column:
-    """Number of different non-null values, spread over tasks before it is counted."""
-    return (frame.where(F.col(column).isNotNull()).select(column).distinct()
-            .agg(F.count("*")).scalar())
+def _counted(events: DataFrame, values: dict[str, Column], timed: bool = False) -> DataFrame:
+    """(kind, value, n[, first, last]): rows per value of each kind, from one read and one shuffle.
+
+    Every event becomes one short row per kind that is not null; rows are counted per task before
+    the shuffle. ``timed`` keeps the time range of the events of kind ``row``.
+    """
+    kept = [F.col("timestamp").alias("_at")] if timed else []
+    cells = F.array_compact(F.array(*[
+        F.when(value.isNotNull(), F.struct(F.lit(kind).alias("kind"),
+                                           value.cast("string").alias("value")))
+        for kind, value in values.items()]))
+    rows = events.select(F.explode(cells).alias("_c"), *kept).select("_c.*", *[
+        F.when(F.col("_c.kind") == "row", F.col("_at")).alias("_at") for _ in kept])
+    return rows.groupBy("kind", "value").agg(F.count("*").alias("n"), *([
+        F.min("_at").alias("first"), F.max("_at").alias("last")] if timed else []))
 
 
 def ingest_statistics(events: DataFrame) -> DataFrame:
     """rows, distinct cohorts, addresses and user agents."""
-    return events.agg(F.count("*").alias("rows")).select(
-        "rows", _distinct_total(events, KEY).alias("unique_cohorts"),
-        _distinct_total(events, "ip").alias("unique_ips"),
-        _distinct_total(events, "user_agent").alias("unique_user_agents"))
+    counted = _counted(events, {"row": F.lit(""), "cohort": F.col(KEY), "ip": F.col("ip"),
+                                "agent": F.col("user_agent")})
+    kind = F.col("kind")
+    return counted.agg(
+        F.coalesce(F.sum(F.when(kind == "row", F.col("n"))), F.lit(0)).alias("rows"),
+        F.count_if(kind == "cohort").alias("unique_cohorts"),
+        F.count_if(kind == "ip").alias("unique_ips"),
+        F.count_if(kind == "agent").alias("unique_user_agents"))
 
 
 def ingest_quality(events: DataFrame, params: Params = Params(),
                    columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: totals, time range, small cohorts, repeated clicks, nulls per column."""
+    """One row: totals, time range, small cohorts, repeated clicks, nulls per column.
+
+    The events are read once, so a join before them runs once.
+    """
     columns = list(columns or events.columns)
-    sizes = events.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count("*").alias("n"))
-    cohorts = sizes.agg(F.count("*").alias("cohorts"),
-                        F.count_if(F.col("n") < params.min_events).alias("small"))
-    aggregates = [F.count("*").alias("total_rows")]
-    if "timestamp" in events.columns:
-        aggregates += [F.min("timestamp").alias("first_timestamp"),
-                       F.max("timestamp").alias("last_timestamp")]
-    aggregates += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
-    out = events.agg(*aggregates)
-    extra = [cohorts.select("cohorts").scalar().alias("cohorts"),
-             cohorts.select("small").scalar().alias("small_cohorts")]
+    values = {"row": F.lit(""), "cohort": F.col(KEY)}
     if "click_id" in events.columns:
-        repeated = (events.where(F.col("click_id").isNotNull()).groupBy("click_id")
-                    .agg(F.count("*").alias("n")).where(F.col("n") > 1).agg(F.count("*")))
-        extra.append(repeated.scalar().alias("repeated_clicks"))
-    return out.select("*", *extra)
+        values["click"] = F.col("click_id")
+    values |= {f"null {c}": F.when(F.col(c).isNull(), F.lit("")) for c in columns}
+    timed = "timestamp" in events.columns
+    kind, n = F.col("kind"), F.col("n")
+
+    def rows_of(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(kind == name, n)), F.lit(0))
+
+    out = [rows_of("row").alias("total_rows")]
+    if timed:
+        out += [F.min("first").alias("first_timestamp"), F.max("last").alias("last_timestamp")]
+    out += [rows_of(f"null {c}").alias(f"null_{c}") for c in columns]
+    out += [F.count_if(kind == "cohort").alias("cohorts"),
+            F.count_if((kind == "cohort") & (n < params.min_events)).alias("small_cohorts")]
+    if "click" in values:
+        out.append(F.count_if((kind == "click") & (n > 1)).alias("repeated_clicks"))
+    return _counted(events, values, timed).agg(*out)
 
 
 def quality_issues(quality: DataFrame, params: Params = Params()) -> DataFrame:

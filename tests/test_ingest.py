@@ -1,8 +1,10 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from clickcohort.operators import ingest as ops
-from clickcohort.operators.ingest import ingest
+from clickcohort.operators.ingest import ingest, ingest_quality, ingest_statistics
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
 from clickcohort.sources.delimited import (
@@ -233,3 +235,33 @@ def test_time_zone(spark, tmp_path):
     path = write(tmp_path / "x.csv", "timestamp,site,ip", "2025-01-15 23:30:00,s,1.1.1.1")
     row = ingest(read_csv(spark, path), "2025-01-15", params=Params(tz="America/New_York")).first()
     assert (row["hour"], row["minute"]) == (4, 30)
+
+
+def test_quality_reads_the_events_once(spark):
+    """Counts, ranges and repeats by hand; nulls in every column; one scan, one event shuffle."""
+    at = dt.datetime(2025, 1, 15, 10, tzinfo=dt.timezone.utc)
+    rows = ([("c1", "x", at + dt.timedelta(seconds=i), "1.1.1.1", "ua") for i in range(6)]
+            + [("c2", "y", at, None, "ua"), (None, None, None, None, None),
+               (None, "z", None, "2.2.2.2", None)])
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        read.add(1)
+        return value
+    frame = spark.createDataFrame(
+        rows, "cohort_key string, click_id string, timestamp timestamp, ip string, "
+        "user_agent string").repartition(4).withColumn("ip", seen("ip"))
+    found = ingest_quality(frame).first().asDict()
+    assert read.value == len(rows)
+    first, last = found.pop("first_timestamp"), found.pop("last_timestamp")
+    assert (last - first).total_seconds() == 5
+    assert found == {
+        "total_rows": 9, "null_cohort_key": 2, "null_click_id": 1, "null_timestamp": 2,
+        "null_ip": 2, "null_user_agent": 2, "cohorts": 2, "small_cohorts": 1,
+        "repeated_clicks": 1}
+    assert ingest_statistics(frame).first().asDict() == {
+        "rows": 9, "unique_cohorts": 2, "unique_ips": 2, "unique_user_agents": 1}
+    assert read.value == 2 * len(rows)
+    empty = ingest_quality(frame.limit(0)).first()
+    assert (empty["total_rows"], empty["cohorts"], empty["first_timestamp"]) == (0, 0, None)
