@@ -88,6 +88,19 @@ def click_events(spark: SparkSession, sf_dir: str, ips: int = 10, agents: int =
         "payload_signature", payload_signature(frame.columns))
 
 
+def robot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` from two addresses; the first asks for one page again and again, without cookie
+    or referrer, under one agent."""
+    frame = click_events(spark, sf_dir, ips=2, agents=2).drop("payload_signature")
+    robot = F.col("ip") == "10.0.0.0"
+    fixed = {"origin": F.lit("view"), "destination": F.lit("D0"), "dep_date": F.col("date"),
+             "referrer": F.lit(None), "cookie_present": F.lit(False),
+             "http_version": F.lit("1.1"), "user_agent_full": F.lit("UA0")}
+    frame = frame.withColumns({
+        c: F.when(robot, value).otherwise(F.col(c)) for c, value in fixed.items()})
+    return frame.withColumn("payload_signature", payload_signature(frame.columns))
+
+
 def raw_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as the text rows of a booking export, with blanks and null spellings."""
     k, day = F.col("k"), F.to_date("ts")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickcohort import adapters
-from clickcohort.adapters import address_log, click_events, raw_bookings, table
+from clickcohort.adapters import address_log, click_events, raw_bookings, robot_events, table
 from clickcohort.functions.signature import jaccard_arrays, payload_signature
 from clickcohort.operators import (
     frequency, history, iforest, ingest as ingest_ops, ladder, lookups, profile, ranking, scoring,
@@ -605,6 +605,35 @@ def evidence_samples(spark, sf_dir):
         KEY, "botness_score", "risk_band", F.to_json("sample_rows").alias("sample_rows")))
 
 
+#: One tree (see SET_NODES) by which a cohort with one leading signature scores 1, others 0.
+LEADING_NODES = [(0, 0, 0, 0.5, 1, 2, 0.0), (0, 1, -1, 0.0, -1, -1, 3.0),
+                 (0, 2, -1, 0.0, -1, -1, 6.0)]
+
+
+def robot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohorts with robots among them, by default thresholds and a set tree."""
+    ensure_checkpoint_dir(spark)
+    features = cohort_features(robot_events(spark, sf_dir)).checkpoint()
+    tree = iforest.forest_of_nodes(spark, LEADING_NODES, ["top_signature_share"], SET_ROWS)
+    scored = scoring.add_scores(features, iforest.iso_scores(features, tree))
+    return scored.withColumn("botness", F.round("botness", 9))
+
+
+@query
+def evidence_rows(spark, sf_dir):
+    """Sampled raw rows of the top cohorts, High by the default threshold."""
+    rows = reports.evidence_rows(robot_scores(spark, sf_dir), robot_events(spark, sf_dir))
+    return comparable(rows.select(
+        KEY, "botness_score", "risk_band", "sample_no", *[
+            f"row.{c}" for c in ("row_id", "timestamp", "origin", "session_id", "referrer",
+                                 "cookie_present", "status_code", "payload_signature")]))
+
+
+@query
+def report_rows(spark, sf_dir):
+    return comparable(reports.report_rows(robot_scores(spark, sf_dir)))
+
+
 @query
 def report_document(spark, sf_dir):
     """The JSON report without its time stamp; no oracle, since it is one nested row."""

@@ -47,7 +47,7 @@ KEY_SQL = ("coalesce(date,'unknown') || '|' || coalesce(site,'unknown') || '|' |
            "coalesce(user_agent,'unknown')")
 
 
-def ev(ips: int = 10, agents: int = 3) -> str:
+def ev(ips: int = 10, agents: int = 3, replaced: str = "") -> str:
     agent = f"(user_id % {agents})"
     return f"""{BASE},
 ev0 AS (
@@ -72,7 +72,7 @@ ev AS (
   SELECT *, CAST(num_orders > 0 AS INTEGER) AS has_order, {KEY_SQL} AS cohort_key,
     sha1(lower(origin) || '|' || lower(destination) || '|' || dep_date || '||1-0-0|economy|0')
       AS payload_signature
-  FROM ev0
+  FROM (SELECT * {replaced} FROM ev0)
 )"""
 
 
@@ -449,13 +449,19 @@ _FEATURES = [
 ]
 _BLOCKS = ["basics", "identity", "hours", "shape", "gaps", "bursts", "signatures", "orders_block",
            "agents", "ladder"]
-FEATURE_CTES = f"{ev()}, " + ", ".join(CTES[n] for n in [*_BLOCKS, "churn"]) + f""",
+
+
+def feature_ctes(source: str) -> str:
+    return f"{source}, " + ", ".join(CTES[n] for n in [*_BLOCKS, "churn"]) + f""",
 features AS (
   SELECT cohort_key, {', '.join(_FEATURES)}
   FROM basics {' '.join(f'JOIN {n} USING (cohort_key)' for n in _BLOCKS[1:])}
   JOIN churn USING (date, ip) WHERE n_events >= 5)"""
 
 
+FEATURE_CTES = feature_ctes(ev())
+
+
 def _names(columns: list[str]) -> list[str]:
     return [c.split(" AS ")[-1] for c in columns]
 
@@ -646,7 +652,18 @@ SELECT row_id, date FROM ev WHERE date = (SELECT max(date) FROM ev)"""
 
 # -- scores and reports ----------------------------------------------------------------
 
-SCORED = f"""{FEATURE_CTES},
+_SET_ISO = """-pow(2, -(
+      CASE WHEN n_events <= 10.5 THEN CASE WHEN night_share <= 0.4505 THEN 5.5 ELSE 3.5 END
+           ELSE CASE WHEN hourly_entropy <= 3.2005 THEN 4.0 ELSE 6.0 END END
+      + CASE WHEN night_share <= 0.2105 THEN 2.5
+             WHEN top_signature_share <= 0.1505 THEN 6.5 ELSE 4.5 END
+      + CASE WHEN hourly_entropy <= 2.4505 THEN 3.0
+             WHEN n_events <= 6.5 THEN 4.75 ELSE 5.25 END)::DOUBLE
+      / (3 * (2 * (ln(15) + 0.5772156649015329) - 1.875)))"""
+
+
+def scored_sql(source: str, raw_iso: str, high: float, medium: float) -> str:
+    return f"""{feature_ctes(source)},
 ruled AS (
   SELECT *, greatest(0.0, least(1.0,
     0.2 * (night_share + 1 - hourly_entropy / 4) / 2
@@ -657,24 +674,20 @@ ruled AS (
     + 0.1 * ua_full_ip_diversity_ratio
     + 0.1 * greatest(http11_share, CASE WHEN http2_share > 0.95 THEN 1 ELSE 0 END)
     + 0.05 * least(ln(1 + n_events) / 10, 1))) AS rule_score,
-    -pow(2, -(
-      CASE WHEN n_events <= 10.5 THEN CASE WHEN night_share <= 0.4505 THEN 5.5 ELSE 3.5 END
-           ELSE CASE WHEN hourly_entropy <= 3.2005 THEN 4.0 ELSE 6.0 END END
-      + CASE WHEN night_share <= 0.2105 THEN 2.5
-             WHEN top_signature_share <= 0.1505 THEN 6.5 ELSE 4.5 END
-      + CASE WHEN hourly_entropy <= 2.4505 THEN 3.0
-             WHEN n_events <= 6.5 THEN 4.75 ELSE 5.25 END)::DOUBLE
-      / (3 * (2 * (ln(15) + 0.5772156649015329) - 1.875))) AS raw_iso
+    {raw_iso} AS raw_iso
   FROM features),
 scaled AS (SELECT *, (raw_iso - min(raw_iso) OVER ()) / (max(raw_iso) OVER () - min(raw_iso) OVER ())
     AS iso_score FROM ruled),
 blended AS (SELECT *, round(0.5 * rule_score + 0.5 * iso_score, 9) AS botness FROM scaled),
-scored AS (SELECT *, CASE WHEN botness >= 0.6 THEN 'High' WHEN botness >= 0.4 THEN 'Medium'
+scored AS (SELECT *, CASE WHEN botness >= {high} THEN 'High' WHEN botness >= {medium} THEN 'Medium'
              ELSE 'Low' END AS risk_band FROM blended),
 bands AS (SELECT unnest(['High', 'Medium', 'Low']) AS risk_band),
 per_band AS (SELECT b.risk_band, count(s.cohort_key) AS cohorts
   FROM bands b LEFT JOIN scored s ON s.risk_band = b.risk_band GROUP BY 1)"""
 
+
+SCORED = scored_sql(ev(), _SET_ISO, 0.6, 0.4)
+
 ORACLES["rule_score"] = f"WITH {SCORED} SELECT cohort_key, {r6('rule_score')} FROM scored"
 ORACLES["risk_bands"] = f"WITH {SCORED} SELECT cohort_key, {r6('botness')}, risk_band FROM scored"
 ORACLES["band_counts"] = f"WITH {SCORED} SELECT * FROM per_band"
@@ -717,3 +730,52 @@ SELECT * FROM (
   UNION ALL
   SELECT 'iso_score outside [0, 1]', count(*) FILTER (WHERE iso2 < 0 OR iso2 > 1) FROM broken)
 WHERE cohorts > 0"""
+
+_ROBOT_FIXED = {"origin": "'view'", "destination": "'D0'", "dep_date": "date", "referrer": "NULL",
+                "cookie_present": "false", "http_version": "'1.1'", "user_agent_full": "'UA0'"}
+ROBOTS = scored_sql(
+    ev(2, 2, "REPLACE (" + ", ".join(
+        f"CASE WHEN ip = '10.0.0.0' THEN {v} ELSE {c} END AS {c}"
+        for c, v in _ROBOT_FIXED.items()) + ")"),
+    "CASE WHEN top_signature_share <= 0.5 THEN 0.0 ELSE 1.0 END", 0.75, 0.55)
+ORACLES["evidence_rows"] = f"""WITH {ROBOTS},
+top AS (SELECT cohort_key, botness, risk_band FROM scored WHERE risk_band = 'High'
+        ORDER BY botness DESC, cohort_key LIMIT 10),
+drawn AS (
+  SELECT top.*, ev.* EXCLUDE (cohort_key), row_number() OVER (
+    PARTITION BY cohort_key ORDER BY sha1('42:' || row_id), row_id) AS no
+  FROM ev JOIN top USING (cohort_key))
+SELECT cohort_key, {r6('botness', 'botness_score')}, risk_band, CAST(no AS INTEGER) AS sample_no,
+  row_id, epoch_us(ts) AS timestamp, origin, session_id, referrer, cookie_present,
+  CAST(status_code AS DOUBLE) AS status_code, payload_signature
+FROM drawn WHERE no <= 3"""
+_TEXTS = ("cohort_key", "site", "partner", "ip", "user_agent", "ua_full", "risk_band")
+_NUMBERS = ("ua_full_mode_share", "ua_full_ip_diversity", "ua_full_ip_diversity_ratio",
+            "rule_score", "iso_score", "botness", "n_events", "night_share",
+            "top_signature_share", "repeat_ratio", "gap_p50", "max_run_lt_1s", "cookie_rate",
+            "referrer_rate", "ladder_sweep", "hourly_entropy")
+
+
+def _report_value(section: str, field: str, expr: str) -> str:
+    return (f"SELECT '{section}', CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), '{field}', "
+            f"CAST(NULL AS VARCHAR), {r6(expr, 'number')} FROM scored")
+
+
+ORACLES["report_rows"] = f"""WITH {ROBOTS},
+listed AS (
+  SELECT *, lower(risk_band) || '_risk_cohorts' AS section, CAST(row_number() OVER (
+    PARTITION BY risk_band ORDER BY botness DESC, cohort_key) AS INTEGER) AS rank
+  FROM scored WHERE risk_band IN ('High', 'Medium'))
+""" + " UNION ALL ".join([
+    *[f"SELECT section, rank, cohort_key, '{c}' AS field, {c} AS text, "
+      "CAST(NULL AS DOUBLE) AS number FROM listed WHERE rank <= 50" for c in _TEXTS],
+    *[f"SELECT section, rank, cohort_key, '{c}', CAST(NULL AS VARCHAR), {r6(c, 'number')} "
+      "FROM listed WHERE rank <= 50" for c in _NUMBERS],
+    _report_value("summary", "total_cohorts", "count(*)"),
+    *[_report_value("summary", f"{b.lower()}_risk_count",
+                    f"count(*) FILTER (WHERE risk_band = '{b}')")
+      for b in ("High", "Medium", "Low")],
+    *[_report_value("statistics", f"{score}_{name}", f"{fn}({score})")
+      for score in ("rule_score", "iso_score", "botness")
+      for name, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))],
+])

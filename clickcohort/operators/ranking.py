@@ -33,7 +33,13 @@ def top_ua_by_ip_diversity(features: DataFrame, n: int = 10) -> DataFrame:
 
 
 def sample_rows(events: DataFrame, k: int = 3, seed: int = 42, key: str = KEY) -> DataFrame:
-    """min(k, n) rows of each cohort, the same rows on every run."""
-    order = Window.partitionBy(key).orderBy(F.xxhash64("row_id", F.lit(seed)), "row_id")
+    """min(k, n) rows of each cohort: those whose SHA-1 of ``seed:row_id`` is smallest.
+
+    The order is the same on every run, in any partitioning and in any engine that has SHA-1, as
+    long as ids differ; rows of one id, or without one, rank in any order. Spark keeps k rows a
+    cohort in each task before the shuffle, so a cohort of any size sends few.
+    """
+    draw = F.sha1(F.concat(F.lit(f"{seed}:"), F.col("row_id").cast("string")))
+    order = Window.partitionBy(key).orderBy(draw, "row_id")
     return (events.withColumn("sample_no", F.row_number().over(order))
             .where(F.col("sample_no") <= k))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickcohort.operators.ranking import (
     by_botness, sample_rows, top_of_band, top_per_band, top_ua_by_ip_diversity,
 )
-from clickcohort.operators.scoring import BANDS, band_counts, score_statistics
+from clickcohort.operators.scoring import BANDS, SCORES, band_counts, score_statistics
 from clickcohort.operators.tallies import KEY
 from clickcohort.params import Params
 from clickcohort.sources.lake import write_csv, write_json
@@ -65,19 +65,70 @@ def risk_distribution(scored: DataFrame) -> DataFrame:
         "pct", F.coalesce(F.try_divide(F.col("cohorts") * 100.0, total), F.lit(0.0)))
 
 
+def evidence_rows(scored: DataFrame, events: DataFrame, params: Params = Params(),
+                  cohorts: int = EVIDENCE_COHORTS) -> DataFrame:
+    """A few raw rows of each of the top High cohorts, one row each.
+
+    (cohort_key, botness_score, risk_band, sample_no, row); ``row`` holds all event columns.
+    """
+    top = top_of_band(scored, "High", cohorts).select(
+        KEY, F.col("botness").alias("botness_score"), "risk_band")
+    rows = events.join(F.broadcast(top.select(KEY)), KEY, "left_semi")
+    sampled = sample_rows(rows, params.sample_rows, params.seed).select(
+        KEY, "sample_no", F.struct(*events.columns).alias("row"))
+    return sampled.join(F.broadcast(top), KEY).select(
+        KEY, "botness_score", "risk_band", "sample_no", "row")
+
+
 def evidence_samples(scored: DataFrame, events: DataFrame, params: Params = Params(),
                      cohorts: int = EVIDENCE_COHORTS) -> DataFrame:
-    """Top High cohorts with a few of their raw rows, nested; at most ``cohorts`` rows."""
-    top = top_of_band(scored, "High", cohorts).select(KEY, "botness", "risk_band")
-    rows = events.join(F.broadcast(top.select(KEY)), KEY, "left_semi")
-    sampled = sample_rows(rows, params.sample_rows, params.seed).groupBy(KEY).agg(
-        F.sort_array(F.collect_list(F.struct("sample_no", F.struct(
-            *[c for c in events.columns]).alias("row")))).alias("_rows"))
-    return top.join(sampled, KEY).select(
-        KEY, F.col("botness").alias("botness_score"), "risk_band",
+    """The rows of ``evidence_rows`` nested by cohort; at most ``cohorts`` rows."""
+    return evidence_rows(scored, events, params, cohorts).groupBy(
+        KEY, "botness_score", "risk_band").agg(
+        F.sort_array(F.collect_list(F.struct("sample_no", "row"))).alias("_rows")).select(
+        KEY, "botness_score", "risk_band",
         F.transform("_rows", lambda r: r["row"]).alias("sample_rows"))
 
 
+def report_rows(scored: DataFrame, params: Params = Params()) -> DataFrame:
+    """What the JSON report says, one row a value: (section, rank, cohort_key, field, text, number).
+
+    Sections are ``high_risk_cohorts`` and ``medium_risk_cohorts`` (at most ``top_n`` ranks each),
+    ``statistics`` (fields like ``botness_mean``) and ``summary``, the last two without rank and
+    key. Strings are in ``text``; numbers, and flags as 0 or 1, in ``number``. No cohorts:
+    counts of 0 and null statistics. Reads the cohorts once whole, cut to ``top_n`` a band
+    before any shuffle, and once for the four columns that are counted.
+    """
+    fields = [c for c in EXTRACT_COLUMNS if c in scored.columns and c not in NOT_IN_RECORDS]
+    kinds = dict(scored.dtypes)
+
+    def value(field: str, column: Column, string: bool) -> Column:
+        return F.struct(
+            F.lit(field).alias("field"),
+            (column if string else F.lit(None)).cast("string").alias("text"),
+            (F.lit(None) if string else column).cast("double").alias("number"))
+
+    listed = top_per_band(scored.where(F.col("risk_band").isin("High", "Medium")), params.top_n)
+    records = listed.select(
+        F.concat(F.lower("risk_band"), F.lit("_risk_cohorts")).alias("section"),
+        F.col("rank").cast("int").alias("rank"), F.col(KEY),
+        F.inline(F.array(*[value(c, F.col(c), kinds[c] == "string") for c in fields])))
+
+    measures = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = {("summary", "total_cohorts"): F.count("*")}
+    wide |= {("summary", f"{b.lower()}_risk_count"): F.count_if(F.col("risk_band") == b)
+             for b in BANDS}
+    wide |= {("statistics", f"{score}_{name}"): measure(score)
+             for score in SCORES for name, measure in measures.items()}
+    totals = scored.agg(*[c.alias(f"{section}_{field}") for (section, field), c in wide.items()])
+    cells = totals.select(F.inline(F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit(None).cast("int").alias("rank"),
+                 F.lit(None).cast("string").alias(KEY),
+                 value(field, F.col(f"{section}_{field}"), False).alias("_v"))
+        for section, field in wide])))
+    return records.unionByName(cells.select("section", "rank", KEY, "_v.*"))
+
+
 def report_document(scored: DataFrame, date: str, params: Params = Params()) -> DataFrame:
     """The JSON report as one row: metadata, statistics, top cohorts, summary counts.
 
@@ -130,6 +181,6 @@ def write_reports(scored: DataFrame, date: str, folder: str, events: DataFrame |
 
 
 __all__ = [
-    "cohort_extract", "cohort_records", "display_table", "evidence_samples",
-    "report_document", "risk_distribution", "top_per_band", "write_reports",
+    "cohort_extract", "cohort_records", "display_table", "evidence_rows", "evidence_samples",
+    "report_document", "report_rows", "risk_distribution", "top_per_band", "write_reports",
 ]

@@ -1,4 +1,6 @@
+import hashlib
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -115,6 +117,51 @@ def test_sample_is_small_and_stable(spark):
     assert {r["row_id"] for r in sample_rows(events, seed=7).collect()} != first
 
 
+def test_sample_is_the_smallest_digests(spark):
+    """Against SHA-1 by hand; rows are cut before the shuffle."""
+    events = events_from(spark, run("2025-01-15T10:00:00", 40, 1, ip="a")
+                         + run("2025-01-15T10:00:00", 1, 1, ip="b"))
+    expected = set()
+    for ip in ("a", "b"):
+        ids = [r["row_id"] for r in events.where(F.col("ip") == ip).collect()]
+        expected |= set(sorted(ids, key=lambda i: hashlib.sha1(f"9:{i}".encode()).hexdigest())[:3])
+    sampled = sample_rows(events, 3, 9)
+    assert {r["row_id"] for r in sampled.collect()} == expected
+    assert sample_rows(events.limit(0)).collect() == []
+    plan = sampled._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit.*Final", plan) and re.search(
+        r"WindowGroupLimit.*Partial", plan)
+
+
+def test_report_rows_say_what_the_document_says(spark):
+    scored = spark.createDataFrame(
+        [(f"k{i:02}", i / 20, i / 20, i / 20, "High" if i > 14 else "Medium" if i > 9 else "Low",
+          i, i % 2 == 0, None if i % 3 else 0.5) for i in range(20)],
+        "cohort_key string, rule_score double, iso_score double, botness double, "
+        "risk_band string, n_events long, ladder_sweep boolean, gap_p50 double")
+    params = Params(top_n=3)
+    rows = reports.report_rows(scored, params).collect()
+    document = reports.report_document(scored, "2025-01-15", params).first().asDict(True)
+    for section in ("high_risk_cohorts", "medium_risk_cohorts"):
+        for rank, record in enumerate(document[section], 1):
+            cells = {r["field"]: r for r in rows if (r["section"], r["rank"]) == (section, rank)}
+            assert set(cells) == set(record) and len(document[section]) == 3
+            for field, value in record.items():
+                got = cells[field]["text"] if isinstance(value, str) else cells[field]["number"]
+                assert got == value and cells[field]["cohort_key"] == record["cohort_key"]
+    single = {(r["section"], r["field"]): r["number"] for r in rows if r["rank"] is None}
+    assert single["summary", "total_cohorts"] == document["metadata"]["total_cohorts"]
+    for field, value in document["summary"].items():
+        assert single["summary", field] == value
+    for stat in document["statistics"]:
+        for name in ("mean", "std", "min", "max"):
+            assert single["statistics", f"{stat['score']}_{name}"] == pytest.approx(stat[name])
+    nothing = {(r["section"], r["field"]): r["number"]
+               for r in reports.report_rows(scored.limit(0)).collect()}
+    assert nothing["summary", "high_risk_count"] == 0
+    assert nothing["statistics", "botness_mean"] is None and len(nothing) == 16
+
+
 def test_record_columns(spark):
     frame = spark.createDataFrame([("k", "d", 0.5, 1.0)], ["cohort_key", "date", "botness", "http2_share"])
     record = reports.cohort_records(frame).select(F.to_json("record")).first()[0]
