@@ -309,33 +309,44 @@ def ingest(raw: DataFrame, date: str | Column | None, addresses: DataFrame | Non
 
 # -- checks and statistics ------------------------------------------------------
 
-def _counted(events: DataFrame, values: dict[str, Column], timed: bool = False) -> DataFrame:
+def _counted(events: DataFrame, values: Sequence[Column], timed: bool = False) -> DataFrame:
     """(kind, value, n[, first, last]): rows per value of each kind, from one read and one shuffle.
 
-    Every event becomes one short row per kind that is not null; rows are counted per task before
-    the shuffle. ``timed`` keeps the time range of the events of kind ``row``.
+    A kind is a position in ``values``. Every event becomes one short row of kind 0, also for
+    null, and one of each other kind whose value is not null; rows are counted per task before the
+    shuffle. ``timed`` keeps the time range of kind 0.
     """
     kept = [F.col("timestamp").alias("_at")] if timed else []
-    cells = F.array_compact(F.array(*[
-        F.when(value.isNotNull(), F.struct(F.lit(kind).alias("kind"),
-                                           value.cast("string").alias("value")))
-        for kind, value in values.items()]))
-    rows = events.select(F.explode(cells).alias("_c"), *kept).select("_c.*", *[
-        F.when(F.col("_c.kind") == "row", F.col("_at")).alias("_at") for _ in kept])
+    cells = [F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+             for kind, value in enumerate(values)]
+    emitted = F.array_compact(F.array(cells[0], *[
+        F.when(value.isNotNull(), cell) for value, cell in zip(values[1:], cells[1:])]))
+    rows = events.select(F.explode(emitted).alias("_c"), *kept).select(
+        "_c.*", *[F.when(F.col("_c.kind") == 0, F.col("_at")).alias("_at") for _ in kept])
     return rows.groupBy("kind", "value").agg(F.count("*").alias("n"), *([
         F.min("_at").alias("first"), F.max("_at").alias("last")] if timed else []))
 
 
+def _rows_of(kind: int) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+
+
+def _values_of(kind: int) -> Column:
+    return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
+
+
+def _distinct_total(frame: DataFrame, column: str) -> Column:
+    """Number of different non-null values, spread over tasks before it is counted."""
+    return (frame.where(F.col(column).isNotNull()).select(column).distinct()
+            .agg(F.count("*")).scalar())
+
+
 def ingest_statistics(events: DataFrame) -> DataFrame:
     """rows, distinct cohorts, addresses and user agents."""
-    counted = _counted(events, {"row": F.lit(""), "cohort": F.col(KEY), "ip": F.col("ip"),
-                                "agent": F.col("user_agent")})
-    kind = F.col("kind")
-    return counted.agg(
-        F.coalesce(F.sum(F.when(kind == "row", F.col("n"))), F.lit(0)).alias("rows"),
-        F.count_if(kind == "cohort").alias("unique_cohorts"),
-        F.count_if(kind == "ip").alias("unique_ips"),
-        F.count_if(kind == "agent").alias("unique_user_agents"))
+    return events.agg(F.count("*").alias("rows")).select(
+        "rows", _distinct_total(events, KEY).alias("unique_cohorts"),
+        _distinct_total(events, "ip").alias("unique_ips"),
+        _distinct_total(events, "user_agent").alias("unique_user_agents"))
 
 
 def ingest_quality(events: DataFrame, params: Params = Params(),
@@ -345,24 +356,20 @@ def ingest_quality(events: DataFrame, params: Params = Params(),
     The events are read once, so a join before them runs once.
     """
     columns = list(columns or events.columns)
-    values = {"row": F.lit(""), "cohort": F.col(KEY)}
-    if "click_id" in events.columns:
-        values["click"] = F.col("click_id")
-    values |= {f"null {c}": F.when(F.col(c).isNull(), F.lit("")) for c in columns}
+    clicks = "click_id" in events.columns
     timed = "timestamp" in events.columns
+    values = [F.col(KEY), F.col("click_id") if clicks else F.lit(None)]
+    values += [F.when(F.col(c).isNull(), F.lit("")) for c in columns]
     kind, n = F.col("kind"), F.col("n")
-
-    def rows_of(name: str) -> Column:
-        return F.coalesce(F.sum(F.when(kind == name, n)), F.lit(0))
-
-    out = [rows_of("row").alias("total_rows")]
+    out = [_rows_of(0).alias("total_rows")]
     if timed:
         out += [F.min("first").alias("first_timestamp"), F.max("last").alias("last_timestamp")]
-    out += [rows_of(f"null {c}").alias(f"null_{c}") for c in columns]
-    out += [F.count_if(kind == "cohort").alias("cohorts"),
-            F.count_if((kind == "cohort") & (n < params.min_events)).alias("small_cohorts")]
-    if "click" in values:
-        out.append(F.count_if((kind == "click") & (n > 1)).alias("repeated_clicks"))
+    out += [_rows_of(i).alias(f"null_{c}") for i, c in enumerate(columns, 2)]
+    out += [_values_of(0).alias("cohorts"),
+            F.count_if((kind == 0) & F.col("value").isNotNull() & (n < params.min_events))
+            .alias("small_cohorts")]
+    if clicks:
+        out.append(F.count_if((kind == 1) & (n > 1)).alias("repeated_clicks"))
     return _counted(events, values, timed).agg(*out)
 
 
