@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from clickcohort.session import ensure_checkpoint_dir
 
@@ -12,8 +13,9 @@ from clickcohort.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 _GAP = r"[\x20\x09-\x0D]+"
-#: Tables of at most so many narrow rows are broadcast after being counted.
+#: Tables of at most so many rows and bytes are broadcast after being measured.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 32 << 20
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -72,12 +74,31 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column's values in a row, about: 16, and what strings and lists hold."""
+    value, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        held = F.octet_length(value)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        held = F.aggregate(value, F.lit(0), lambda s, x: s + F.octet_length(
+            F.coalesce(x, F.lit(""))) + F.lit(16))
+    elif isinstance(kind, T.ArrayType):
+        held = F.size(value) * 16
+    else:
+        held = F.lit(0)
+    return F.coalesce(held, F.lit(0)).cast("long") + F.lit(16)
+
+
 def small(frame: DataFrame) -> DataFrame:
-    """Marked for broadcast if it is counted to be small, else left to a shuffled join.
+    """Marked for broadcast if its rows and bytes are measured to be few, else left to a
+    shuffled join.
 
-    For frames of a few numbers a row that are cheap to compute or already written.
+    For frames that are cheap to compute or already written.
     """
-    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+    width = reduce(lambda x, y: x + y, [_width(f) for f in frame.schema.fields])
+    rows, held = frame.agg(F.count("*"), F.sum(width)).first()
+    few = rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES
+    return F.broadcast(frame) if few else frame
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

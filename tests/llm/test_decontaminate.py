@@ -138,3 +138,19 @@ def test_short_items_by_hand(spark, tmp_path):
     assert {(r["doc_id"], r["item_id"]) for r in asked} == expected
     kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in clean.collect()}
+
+
+def test_wide_tables_are_not_broadcast(spark, monkeypatch):
+    """By bytes as well as rows; nulls and empty lists count as nothing."""
+    from clickcohort.llm import common
+
+    def hinted(frame):
+        return "broadcast" in common.small(frame)._jdf.queryExecution().logical().toString()
+    frame = spark.createDataFrame(
+        [(1, "a" * 500, ["b" * 500], [1.0] * 30), (2, None, None, None), (3, "", [None], [])],
+        "id long, text string, words array<string>, numbers array<double>")
+    assert hinted(frame) and hinted(frame.limit(0))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 1500)
+    assert not hinted(frame) and hinted(frame.select("id", "text"))
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 2)
+    assert not hinted(frame.select("id"))
