@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 JOB_DATE = "2024-01-31"
+COOKIE_TEXTS = ("true", " TRUE ", "1", "t", "Yes", "no", "0", "false", "", "nan", "2", None)
 STATS_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -132,6 +133,17 @@ def dq_issues(spark, sf_dir):
         ingest_ops.ingest_quality(events, params, columns=["timestamp"]), params)
 
 
+@query
+def cookie_texts(spark, sf_dir):
+    """Spellings of yes and no, blanks and nulls in the cookie column of an export."""
+    raw = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("row_id"),
+        F.element_at(F.array(*[F.lit(v) for v in COOKIE_TEXTS]),
+                     (F.col("event_id") % len(COOKIE_TEXTS) + 1).cast("int"))
+        .alias("cookie_present"))
+    return ingest_ops.normalize_columns(raw).select("row_id", "cookie_present")
+
+
 @query
 def ingest_totals(spark, sf_dir):
     return ingest_ops.ingest_statistics(click_events(spark, sf_dir))
@@ -438,6 +450,20 @@ def ewma_last_day(spark, sf_dir):
     return comparable(out.select(KEY, *[c for c in out.columns if c.startswith("ewma_")]))
 
 
+@query
+def ewma_first_day(spark, sf_dir):
+    """A day without any earlier one keeps its own values."""
+    events = click_events(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    features = tallies(events, ["time", "hygiene"]).join(
+        frequency.leading_values(events), KEY).join(
+        frequency.frequency_features(events, ["signature"]), KEY).checkpoint()
+    first = F.lit(features.agg(F.min("date")).first()[0])
+    out = history.add_ewma(features.where(F.col("date") == first),
+                           features.where(F.col("date") < first))
+    return comparable(out.select(KEY, *[c for c in out.columns if c.startswith("ewma_")]))
+
+
 @query
 def ewma_nation_daily(spark, sf_dir):
     daily = (

@@ -178,6 +178,11 @@ SELECT n || ' cohorts have < 2000 events' AS issue FROM small WHERE n > 0
 UNION ALL SELECT n || ' events have no readable timestamp' FROM untimed WHERE n > 0
 UNION ALL SELECT n || ' click ids occur more than once' FROM clicks WHERE n > 0"""
 
+_COOKIES = ["true", " TRUE ", "1", "t", "Yes", "no", "0", "false", "", "nan", "2", None]
+ORACLES["cookie_texts"] = f"""
+SELECT event_id AS row_id, coalesce(lower(trim(text)) IN ('true', '1', 't', 'yes'), false)
+  AS cookie_present
+FROM (SELECT event_id, {choice('event_id % 12', _COOKIES)} AS text FROM events)"""
 ORACLES["ingest_totals"] = f"""WITH {ev()}
 SELECT count(*) AS rows, count(DISTINCT cohort_key) AS unique_cohorts,
   count(DISTINCT ip) AS unique_ips, count(DISTINCT user_agent) AS unique_user_agents FROM ev"""
@@ -614,6 +619,9 @@ ORACLES["ewma_history"] = _ewma_by_day(_EWMA, "")
 ORACLES["ewma_last_day"] = _ewma_by_day(
     _EWMA + ["repeat_ratio", "referrer_rate"], "WHERE day = (SELECT max(day) FROM today)")
 
+ORACLES["ewma_first_day"] = _ewma_by_day(
+    _EWMA + ["repeat_ratio", "referrer_rate"], "WHERE day = (SELECT min(day) FROM today)")
+
 ORACLES["ewma_nation_daily"] = f"""
 WITH daily AS (
   SELECT c_nationkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
