@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clickcohort.operators import sequence
 from clickcohort.operators.frequency import frequency_features, leading_values
 from clickcohort.operators.ladder import ladder_sweep
 from clickcohort.operators.layout import by_cohort
@@ -151,6 +152,40 @@ def test_hot_cohorts_give_the_same(spark, seed):
         assert split == plain
 
 
+def recorded_cuts(monkeypatch, frame_class):
+    """The checkpointed frames that hold pieces."""
+    kept, checkpoint = [], frame_class.checkpoint
+
+    def record(frame, *args, **kwargs):
+        done = checkpoint(frame, *args, **kwargs)
+        if "piece" in done.columns:
+            kept.append(done)
+        return done
+    monkeypatch.setattr(frame_class, "checkpoint", record)
+    return kept
+
+
+@pytest.mark.parametrize("task_rows, tasks", [(100_000, 1), (150, 8), (40, 30)])
+def test_tasks_follow_rows_and_pieces_the_limit(spark, monkeypatch, task_rows, tasks):
+    """A small limit cuts all its cohorts into small pieces, but takes no task for each."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", task_rows, raising=False)
+    cuts = recorded_cuts(monkeypatch, type(spark.range(1)))
+    rng = random.Random(task_rows)
+    rows = [row for ip in "abc" for row in run(
+        "2025-01-15T10:00:00", 400, 0.7, ip=ip,
+        status_code=[rng.choice([200.0, 500.0, 500.0]) for _ in range(400)])]
+    events = events_from(spark, rows).repartition(3)
+    plain = sequence_features(events).orderBy(KEY).collect()
+    assert not cuts
+    assert sequence_features(events, Params(hot_cohort_rows=8)).orderBy(KEY).collect() == plain
+    cut, = cuts
+    assert cut.rdd.getNumPartitions() == tasks
+    sizes = cut.withColumn("task", F.spark_partition_id()).groupBy(KEY, "piece").agg(
+        F.count("*").alias("rows"), F.count_distinct("task").alias("tasks"))
+    most = sizes.agg(F.max("rows"), F.max("tasks"), F.count("*")).first()
+    assert most[0] <= 4 and most[1] == 1 and most[2] >= 300
+
+
 def test_signature_measures(spark):
     rows = [{"origin": o} for o in ("a", "a", "a", "b", "b", "c")]
     row = only(frequency_features(events_from(spark, rows), ["signature"], patterns=True))
