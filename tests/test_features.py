@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +187,34 @@ def test_tasks_follow_rows_and_pieces_the_limit(spark, monkeypatch, task_rows, t
     assert most[0] <= 4 and most[1] == 1 and most[2] >= 300
 
 
+@pytest.mark.parametrize("limit", [1, 2, 7, 20, 24, 60])
+def test_dense_runs_across_cuts(spark, limit):
+    """Frames over any number of cuts, against the window: gaps, copies, times that are missing."""
+    rng = random.Random(limit)
+    rows = []
+    for cohort in range(6):
+        clock = 0.0
+        for i in range((1, 10, 11, 12, 90, 200)[cohort]):
+            clock += rng.choice([0, 0.5, 0.5, 1.5] if cohort < 5 else [1.5, 1.5, 0.5])
+            rows += [{"ip": str(cohort), "row_id": 1000 * cohort + i, "status_code": 200.0,
+                      "timestamp": None if rng.random() < 0.1 else at(
+                          f"2025-01-15T10:{int(clock) // 60:02d}:{int(clock) % 60:02d}"
+                          f".{int(clock * 10) % 10}")}] * rng.choice([1, 1, 1, 1, 3])
+    events = events_from(spark, rows)
+    plain = sequence_features(events).orderBy(KEY).collect()
+    assert len({r["max_run_lt_1s"] for r in plain}) > 3
+    assert sequence_features(events, Params(hot_cohort_rows=limit)).orderBy(KEY).collect() == plain
+
+
+def test_rows_of_a_large_cohort_do_not_meet(spark):
+    """Windows over events run inside a piece; one over a cohort has a row for each piece."""
+    frame = sequence_features(four_cohorts(spark), Params(hot_cohort_rows=8))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Window .*\], \[cohort_key#\d+, piece#\d+L\], \[ts#", plan)
+    over_pieces = re.findall(r"Window .*\], \[cohort_key#\d+\], \[(piece#.*)\]", plan)
+    assert over_pieces and all("," not in order for order in over_pieces)
+
+
 def test_signature_measures(spark):
     rows = [{"origin": o} for o in ("a", "a", "a", "b", "b", "c")]
     row = only(frequency_features(events_from(spark, rows), ["signature"], patterns=True))
