@@ -364,6 +364,17 @@ def test_hot_cohorts_do_not_change_features(spark):
     assert cohort_features(events, Params(hot_cohort_rows=8)).orderBy(KEY).collect() == plain
 
 
+@pytest.mark.parametrize("limit", [2, 8])
+def test_features_take_no_task_for_each_piece(spark, monkeypatch, limit):
+    events = four_cohorts(spark)
+    plain = cohort_features(events).orderBy(KEY).collect()
+    cuts = recorded_cuts(monkeypatch, type(events))
+    assert cohort_features(events, Params(hot_cohort_rows=limit)).orderBy(KEY).collect() == plain
+    cut, = cuts
+    assert cut.rdd.getNumPartitions() == 1
+    assert cut.select(KEY, "piece").distinct().count() >= cut.count() / (limit // 2)
+
+
 def test_ordinary_cohorts_are_shuffled_once_per_block(spark):
     events = four_cohorts(spark)
     for compute in (tallies, frequency_features, leading_values, ladder_sweep):
