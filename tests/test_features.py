@@ -215,6 +215,28 @@ def test_rows_of_a_large_cohort_do_not_meet(spark):
     assert over_pieces and all("," not in order for order in over_pieces)
 
 
+@pytest.mark.parametrize("limit, scans", [(1, 0), (8, 1)])
+def test_large_cohorts_are_read_once_and_joined_with_nothing(spark, tmp_path, limit, scans):
+    """Rows in pieces are read for the cut alone, and once more only where cohorts are ordinary."""
+    four_cohorts(spark).write.parquet(str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    plain = sequence_features(stored).orderBy(KEY).collect()
+    frame = sequence_features(stored, Params(hot_cohort_rows=limit))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" parquet") == scans
+    assert re.findall(r"Join (\w+)", plan) == ["LeftAnti"] * scans + ["LeftOuter"]
+    assert frame.orderBy(KEY).collect() == plain
+
+
+def test_rows_without_a_key_are_ordinary(spark):
+    rows = run("2025-01-15T10:00:00", 30, 0.5, ip="a")
+    events = events_from(spark, rows)
+    events = events.unionByName(events.withColumn(KEY, F.lit(None).cast("string")))
+    plain = sequence_features(events).orderBy(KEY).collect()
+    assert [r[KEY] is None for r in plain] == [True, False]
+    assert sequence_features(events, Params(hot_cohort_rows=8)).orderBy(KEY).collect() == plain
+
+
 def test_signature_measures(spark):
     rows = [{"origin": o} for o in ("a", "a", "a", "b", "b", "c")]
     row = only(frequency_features(events_from(spark, rows), ["signature"], patterns=True))
