@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from clickcohort import catalog
 from clickcohort.catalog import QUERIES
 from clickcohort.catalog_sql import ORACLES
 from compare import connect, difference
@@ -63,3 +64,16 @@ def test_entry(spark):
     import __spark_entry__
     assert __spark_entry__.entry(spark).count() > 0
     assert QUERIES.keys() <= __spark_entry__.queries().keys()
+
+
+def test_features_of_large_cohorts_are_counted_on_all_cores(spark, monkeypatch):
+    """However few tasks read the events; the rows are those that are read."""
+    taken = []
+    monkeypatch.setattr(
+        catalog, "cohort_features", lambda events, params: taken.append(events) or events)
+    catalog.features_of_large_cohorts(spark, SF_DIR)
+    events, = taken
+    assert events.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    plain = catalog.click_events(spark, SF_DIR)
+    assert plain.rdd.getNumPartitions() == 1
+    assert events.orderBy("row_id").collect() == plain.orderBy("row_id").collect()

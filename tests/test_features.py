@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickcohort.operators import sequence
 from clickcohort.operators.frequency import frequency_features, leading_values
 from clickcohort.operators.ladder import ladder_sweep
-from clickcohort.operators.layout import by_cohort
+from clickcohort.operators.layout import by_cohort, dealt_out
 from clickcohort.operators.lookups import ua_churn
 from clickcohort.operators.sequence import sequence_features
 from clickcohort.operators.tallies import KEY, min_size_filter, rate, tallies
@@ -397,6 +397,16 @@ def test_features_take_no_task_for_each_piece(spark, monkeypatch, limit):
     assert cut.select(KEY, "piece").distinct().count() >= cut.count() / (limit // 2)
 
 
+def test_rows_of_few_tasks_are_dealt_out(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = dealt_out(spark.range(1000).coalesce(1), "id")
+    tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == cores and max(tasks) <= 2 * 1000 / cores
+    assert sorted(r["id"] for r in rows.collect()) == list(range(1000))
+    many = spark.range(1000, numPartitions=cores + 1)
+    assert dealt_out(many, "id") is many
+
+
 def test_ordinary_cohorts_are_shuffled_once_per_block(spark):
     events = four_cohorts(spark)
     for compute in (tallies, frequency_features, leading_values, ladder_sweep):
