@@ -17,17 +17,23 @@ pyarrow's file systems, so any shared storage that it knows will do.
 
 Encoding: where a tokenizer's normaliser and pre-tokenizer never look across ASCII white
 space, a text's ids are those of its words in turn. Each distinct word of a run of texts is
-then encoded once by the library and its ids are put in place with numpy. `by_words` checks
+then encoded once by the library and its ids are put in place with Arrow. `by_words` checks
 the tokenizer's declaration for that; other tokenizers encode whole texts. Case is folded
 first where the declaration folds it anyway, and a mark is parted from the letter before it
-where the declared pattern does so, which makes fewer distinct words and the same ids.
+where the declared pattern does so, which makes fewer distinct words and the same ids. Words
+of small letters go past the declared steps that leave them as they are, straight to the model.
+
+The tasks that a Python process runs in turn share one encoder. It remembers words and their
+ids up to a bound in bytes, beyond which the half used last is kept.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -44,10 +50,13 @@ from clickcohort.llm.token_counts import by_bytes
 
 LENGTH, BATCH = 2048, 64
 _RUN_BYTES = 4 << 20
-_KNOWN_WORDS, _GROUP = 400_000, 128
+#: Bytes of remembered words and ids, at 32 more for each word.
+_KNOWN_BYTES, _GROUP = 20 << 20, 128
 #: Fixed value: the declared pattern by which a letter and a mark after it are always parted.
 _LETTERS_OR_MARKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _MARKS = r".,;:!?*%&$#"
+#: Small Latin, Greek and Cyrillic letters: folding and composing leave them as they are.
+_SMALL = "".join(c for c in map(chr, range(0x61, 0x460)) if unicodedata.category(c) == "Ll")
 _MANIFEST = "shard int, name string, n_docs bigint, n_ids bigint"
 
 
@@ -56,14 +65,16 @@ class Encoder:
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.end = end_id
         size = max(self.tokenizer.get_vocab_size(), end_id + 1)
         self.kind = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
-        self.known: dict[str, bytes] = {}
+        self.words = pa.array([], pa.large_string())
+        self.coded = pa.array([], pa.large_binary())
+        self.used, self.runs = np.empty(0, dtype=np.int64), 0
         with open(path, encoding="utf-8") as file:
             told = json.load(file)
         self.by_words = by_words(told)
@@ -71,7 +82,8 @@ class Encoder:
             self.added = [a["content"] for a in told["added_tokens"]]
             self.folds = any(x["type"] == "Lowercase" for x in _steps(told["normalizer"],
                                                                      "normalizers"))
-            pattern = _steps(told["pre_tokenizer"], "pretokenizers")[0]["pattern"]["Regex"]
+            first, *others = _steps(told["pre_tokenizer"], "pretokenizers")
+            pattern = first["pattern"]["Regex"]
             self.parts = pattern == _LETTERS_OR_MARKS and not any(
                 re.search(r"\w[^\w\s]", a) and re.search(f"[a-zA-Z][{_MARKS}]", a)
                 for a in self.added)
@@ -79,6 +91,14 @@ class Encoder:
             self.closes = np.zeros(size, dtype=bool)
             for token, number in self.tokenizer.get_vocab().items():
                 self.closes[number] = bool(suffix) and token.endswith(suffix)
+            # A run of letters is one piece, whose last token alone closes a word.
+            self.groups = self.parts and self.closes.any() and not any(
+                a.isalpha() for a in self.added)
+            if self.groups:
+                self.bare = Tokenizer(self.tokenizer.model)
+                self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+                    [pre_tokenizers.WhitespaceSplit()] + [pre_tokenizers.ByteLevel(
+                        add_prefix_space=False, use_regex=False) for _ in others])
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.by_words:
@@ -104,54 +124,98 @@ class Encoder:
 
     def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(self._simpler(pa.array(texts, pa.large_string())))
-        coded = lists.values.dictionary_encode()
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        ids, size = self._distinct(coded.dictionary.to_pylist())
-        begin = np.cumsum(size) - size
-        each = size[index]
-        # Ids of each text: those of its words and the end.
-        bounds = np.concatenate([[0], np.cumsum(each)])
-        offsets = lists.offsets.to_numpy()
-        counts = bounds[offsets[1:]] - bounds[offsets[:-1]] + 1
-        out = np.full(counts.sum(), self.end, dtype=self.kind)
-        taken = ids[np.repeat(begin[index] - bounds[:-1], each) + np.arange(bounds[-1])]
-        free = np.ones(len(out), dtype=bool)
-        free[np.cumsum(counts) - 1] = False
-        out[free] = taken
-        return out, counts
-
-    def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) + len(words) > _KNOWN_WORDS:
-            self.known = {}
-        known = self.known
-        new = [w for w in words if w not in known]
-        # A run of letters is one piece and its last token alone closes a word.
-        plain = [w for w in new if w.isalpha()] if self.parts and self.closes.any() else []
-        rest = [w for w in new if not w.isalpha()] if plain else new
-        groups = [plain[at:at + _GROUP] for at in range(0, len(plain), _GROUP)]
-        for group, found in zip(groups, self._encoded([" ".join(g) for g in groups])):
-            raw = np.array(found, dtype=self.kind)
-            ends = np.flatnonzero(self.closes[raw]) + 1
-            if len(ends) != len(group):
-                rest += group
-                continue
-            data, width, begin = raw.tobytes(), self.kind.itemsize, 0
-            for word, end in zip(group, (ends * width).tolist()):
-                known[word] = data[begin:end]
-                begin = end
-        for word, found in zip(rest, self._encoded(rest)):
-            known[word] = np.array(found, dtype=self.kind).tobytes()
-        every = [known[w] for w in words]
-        size = np.fromiter(map(len, every), dtype=np.int64, count=len(every))
-        return np.frombuffer(b"".join(every), dtype=self.kind), size // self.kind.itemsize
-
-    def _encoded(self, texts: list[str]) -> Iterator[list[int]]:
-        for at in range(0, len(texts), 1024):
-            for found in self.tokenizer.encode_batch_fast(texts[at:at + 1024],
-                                                          add_special_tokens=False):
+        # Known words come first in the dictionary, in their order.
+        found = pa.chunked_array([self.words, lists.flatten()]).combine_chunks().dictionary_encode()
+        index = found.indices.to_numpy(zero_copy_only=False)[len(self.words):]
+        words = found.dictionary
+        new = words.take(pa.array(np.arange(len(self.words), len(words))))
+        coded = pa.concat_arrays([self.coded, self._new(new)])
+        # The end of a text is laid like a word, the one after the last.
+        last = np.cumsum(pc.list_value_length(lists).to_numpy() + 1) - 1
+        laid = np.empty(len(index) + len(texts), dtype=np.int32)
+        held = np.ones(len(laid), dtype=bool)
+        held[last] = False
+        laid[held], laid[last] = index, len(words)
+        end = pa.array([np.array([self.end], dtype=self.kind).tobytes()], pa.large_binary())
+        out = pa.concat_arrays([coded, end]).take(pa.array(laid))
+        bounds, data = _parts(out)
+        self._remember(words, coded, index)
+        counts = np.diff(bounds[last + 1], prepend=0) // self.kind.itemsize
+        return np.frombuffer(data, dtype=self.kind, count=bounds[-1] // self.kind.itemsize), counts
+
+    def _remember(self, words: pa.Array, coded: pa.Array, index: np.ndarray) -> None:
+        self.runs += 1
+        used = np.zeros(len(words), dtype=np.int64)
+        used[:len(self.used)] = self.used
+        used[index] = self.runs
+        held = np.diff(_parts(words)[0]) + np.diff(_parts(coded)[0]) + 32
+        if held.sum() > _KNOWN_BYTES:
+            latest = np.argsort(-used, kind="stable")
+            keep = np.sort(latest[np.cumsum(held[latest]) <= _KNOWN_BYTES // 2])
+            words, coded, used = words.take(pa.array(keep)), coded.take(pa.array(keep)), used[keep]
+        self.words, self.coded, self.used = words, coded, used
+
+    def _new(self, words: pa.Array) -> pa.Array:
+        """Ids of words, as bytes."""
+        texts = words.to_numpy(zero_copy_only=False).tolist()
+        if not self.groups:
+            return pa.array(self._single(texts), pa.large_binary())
+        bare = pc.match_substring_regex(words, f"^[{_SMALL}]+$").to_numpy(zero_copy_only=False)
+        letters = ~bare & np.fromiter(map(str.isalpha, texts), dtype=bool, count=len(texts))
+        rest = [np.flatnonzero(~bare & ~letters)]
+        places, found = [], []
+        for tokenizer, chosen in ((self.bare, bare), (self.tokenizer, letters)):
+            at = np.flatnonzero(chosen)
+            groups = [at[k:k + _GROUP] for k in range(0, len(at), _GROUP)]
+            joined = [" ".join([texts[i] for i in g.tolist()]) for g in groups]
+            for group, ids in zip(groups, self._encoded(tokenizer, joined)):
+                raw = np.array(ids, dtype=self.kind)
+                ends = np.flatnonzero(self.closes[raw]) + 1
+                if len(ends) != len(group):
+                    rest.append(group)
+                    continue
+                places.append(group)
+                found.append(_binary(raw[:ends[-1]], ends))
+        places.append(np.concatenate(rest))
+        found.append(pa.array(self._single([texts[i] for i in places[-1].tolist()]),
+                              pa.large_binary()))
+        return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(places))))
+
+    def _single(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, dtype=self.kind).tobytes()
+                for ids in self._encoded(self.tokenizer, texts)]
+
+    def _encoded(self, tokenizer, texts: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), 64):
+            for found in tokenizer.encode_batch_fast(texts[at:at + 64], add_special_tokens=False):
                 yield found.ids
 
 
+@functools.lru_cache(maxsize=1)
+def _loaded(path: str, end_id: int, stamp: tuple[int, int]) -> Encoder:
+    return Encoder(path, end_id)
+
+
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """The process's encoder, with the words that it knows; a changed file is read again."""
+    told = os.stat(path)
+    return _loaded(path, end_id, (told.st_mtime_ns, told.st_size))
+
+
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of ids as bytes, given where each run ends."""
+    bounds = np.concatenate([[0], ends]).astype(np.int64) * ids.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends),
+                                 [None, pa.py_buffer(bounds), pa.py_buffer(ids.tobytes())])
+
+
+def _parts(values: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Bounds of large strings or binaries in their data, and the data."""
+    _, bounds, data = values.buffers()
+    at = values.offset
+    return np.frombuffer(bounds, dtype=np.int64)[at:at + len(values) + 1], data
+
+
 def _steps(declared: dict | None, key: str) -> list[dict]:
     return declared.get(key, [declared]) if declared else []
 
@@ -300,7 +364,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, lengt
             if not len(found):
                 continue
             if out is None:
-                encoder = Encoder(path, end_id)
+                encoder = encoder_of(path, end_id)
                 out = ShardWriter(folder, name, encoder.kind, length, batch)
             at = 0
             for run in by_bytes(found.column("text").to_pylist(), _RUN_BYTES):

@@ -1,4 +1,6 @@
+import json
 import random
+import shutil
 import zlib
 
 import numpy as np
@@ -30,6 +32,69 @@ def test_encoding_by_words_is_the_librarys():
         at += n
 
 
+def same_ids(encoder, texts, wanted):
+    ids, counts = encoder(texts)
+    assert len(counts) == len(texts) and counts.sum() == len(ids)
+    for end, n, expected in zip(np.cumsum(counts), counts, wanted):
+        assert ids[end - n:end].tolist() == [*expected, 2]
+
+
+def test_small_letters_go_straight_to_the_model():
+    random.seed(12)
+    encoder = token_files.Encoder(tokenizer_file(ENCODER), 2)
+    letters = token_files._SMALL
+    words = [*letters, *("".join(random.choices(letters, k=random.randint(2, 12)))
+                         for _ in range(3000))]
+    whole = []
+    encoder._encoded, asked = lambda tokenizer, texts: (
+        whole.extend(texts) if tokenizer is encoder.tokenizer else None) or asked(
+        tokenizer, texts), encoder._encoded
+    same_ids(encoder, [" ".join(words)], reference_ids([" ".join(words)]))
+    assert not whole
+
+
+def test_a_process_keeps_its_encoder_and_words(tmp_path):
+    path = shutil.copy(tokenizer_file(ENCODER), tmp_path / "words.json")
+    encoder = token_files.encoder_of(str(path), 2)
+    text = "thether ontion was it 12 o'clock élan"
+    same_ids(encoder, [text], reference_ids([text]))
+    again, asked = token_files.encoder_of(str(path), 2), []
+    assert again is encoder
+    again._new, ask = lambda words: asked.extend(words.to_pylist()) or ask(words), again._new
+    same_ids(again, [text, "was other"], reference_ids([text, "was other"]))
+    assert asked == ["other"]
+    with open(path, "a") as file:
+        file.write("\n")
+    assert token_files.encoder_of(str(path), 2) is not encoder
+
+
+def test_words_used_last_stay_known(monkeypatch):
+    encoder = token_files.Encoder(tokenizer_file(ENCODER), 2)
+    monkeypatch.setattr(token_files, "_KNOWN_BYTES", 10_000)
+    for at in range(20):
+        texts = ["the and of", " ".join(f"x{at}y{i}" for i in range(60)), "z" * at * 400]
+        same_ids(encoder, texts, reference_ids(texts))
+        assert len(encoder.words) == len(encoder.coded) == len(encoder.used) < 400
+    asked, ask = [], encoder._new
+    encoder._new = lambda words: asked.extend(words.to_pylist()) or ask(words)
+    same_ids(encoder, ["and the"], reference_ids(["and the"]))
+    assert not asked
+
+
+def test_an_added_token_of_letters_is_found_inside_words(tmp_path):
+    from tokenizers import Tokenizer
+    with open(tokenizer_file(ENCODER), encoding="utf-8") as file:
+        told = json.load(file)
+    told["added_tokens"].append({**told["added_tokens"][0], "id": 49408, "content": "foo"})
+    path = tmp_path / "added.json"
+    path.write_text(json.dumps(told), encoding="utf-8")
+    texts = ["xfoox foo bar", "foo", "FOO foot"]
+    found = Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)
+    encoder = token_files.Encoder(str(path), 2)
+    assert encoder.by_words
+    same_ids(encoder, texts, [e.ids for e in found])
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = tokenizer_file("byte_bpe_50k.json")
     encoder = token_files.Encoder(path, 2)
